@@ -31,10 +31,15 @@ def parse_lines(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
 
 def split_dirty(df: DataFrame, schema: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(records with the schema's columns, dirty lines). Other columns of ``df`` are kept."""
-    parsed = parse_lines(df, schema, value)
-    kept = [c for c in df.columns if c != value]
+    return divide(parse_lines(df, schema, value), df.columns, value)
+
+
+def divide(parsed: DataFrame, columns: list[str],
+           value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """The two sides of lines that ``parse_lines`` has parsed."""
+    kept = [c for c in columns if c != value]
     clean = parsed.where(~F.col("is_dirty")).select(*kept, "record.*")
-    return clean, parsed.where("is_dirty").drop("record", "is_dirty")
+    return clean, parsed.where("is_dirty").select(*columns)
 
 
 def is_start() -> Column:

@@ -7,6 +7,8 @@ spread over its orders, no set of ids is ever held, and the same plan is legal i
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill import codes, schemas
@@ -32,6 +34,16 @@ def _bounds() -> list[Column]:
             second_text(F.col("window.end")).alias("edt")]
 
 
+def _cents(amount: str) -> Column:
+    """Money as BIGINT hundredths: summing longs is about twice as fast as summing decimals."""
+    return (F.col(amount) * F.lit(100)).cast("bigint").alias(amount)
+
+
+def _money(cents: Column) -> Column:
+    return (F.coalesce(cents, F.lit(0)).cast("decimal(26,0)")
+            * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
+
 def _milli_clock(as_of: Column | None) -> Column:
     now = F.unix_millis(as_of if as_of is not None else F.current_timestamp())
     return F.floor(now / F.lit(1000)).cast("bigint") * F.lit(1000).cast("bigint")
@@ -53,6 +65,7 @@ def product_stats(rows: DataFrame, width: str = WIDTH, delay: str | None = "2 se
     summed = [*products.COUNTS, *products.AMOUNTS]
     per_order = (
         _timed(rows, event_time(), delay)
+        .withColumns({m: _cents(m) for m in products.AMOUNTS})
         .groupBy(F.window("_time", width).alias("window"), "sku_id", "order_kind", "order_ref")
         .agg(*[F.sum(m).alias(m) for m in summed], F.min("ts").alias("ts"))
     )
@@ -63,8 +76,7 @@ def product_stats(rows: DataFrame, width: str = WIDTH, delay: str | None = "2 se
     return (
         per_order.groupBy("window", "sku_id")
         .agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in products.COUNTS],
-             *[F.coalesce(F.sum(m), F.lit(0)).cast("decimal(28,2)").alias(m)
-               for m in products.AMOUNTS],
+             *[_money(F.sum(m)).alias(m) for m in products.AMOUNTS],
              orders_of(products.ORDER).alias("order_ct"),
              orders_of(products.PAID).alias("paid_order_ct"),
              orders_of(products.REFUND).alias("refund_order_ct"),
@@ -83,13 +95,14 @@ def province_stats(wide: DataFrame, width: str = WIDTH, delay: str | None = "1 s
     """Distinct orders and the sum of line totals per province."""
     per_order = (
         _timed(wide, text_to_time(F.col("create_time")), delay)
+        .withColumn("_cents", _cents("split_total_amount"))
         .groupBy(F.window("_time", width).alias("window"), *_PROVINCE, "order_id")
-        .agg(F.sum("split_total_amount").alias("order_amount"))
+        .agg(F.sum("_cents").alias("_cents"))
     )
     return (
         per_order.groupBy("window", *_PROVINCE)
         .agg(F.count("order_id").alias("order_count"),
-             F.sum("order_amount").cast("decimal(28,2)").alias("order_amount"))
+             _money(F.sum("_cents")).alias("order_amount"))
         .select(*_bounds(), *_PROVINCE, "order_amount", "order_count",
                 _milli_clock(as_of).alias("ts"))
     )

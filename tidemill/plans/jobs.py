@@ -31,9 +31,19 @@ def job_cdc_ods(changes: DataFrame) -> DataFrame:
                           .alias("value"))
 
 
-def job_base_log(lines: DataFrame, order: list[str]) -> dict[str, DataFrame]:
-    """Raw log lines to start, page and display logs and dirty lines, as separate frames."""
-    clean, dirty = lg.split_dirty(lines, schemas.LOG)
+def job_base_log(lines: DataFrame, order: list[str],
+                 stage: str | None = None) -> dict[str, DataFrame]:
+    """Raw log lines to start, page and display logs and dirty lines, as separate frames.
+
+    A batch may name a ``stage`` folder in shared storage: the parsed lines are written there
+    once, and every output reads columns from it instead of parsing the text again.
+    """
+    if stage and not lines.isStreaming:
+        lg.parse_lines(lines, schemas.LOG).write.mode("overwrite").parquet(stage)
+        parsed = lines.sparkSession.read.parquet(stage)
+        clean, dirty = lg.divide(parsed, lines.columns)
+    else:
+        clean, dirty = lg.split_dirty(lines, schemas.LOG)
     logs = repair_is_new(clean, order)
     pages = lg.route_page(logs)
     return {START: lg.route_start(logs), PAGE: pages, DISPLAY: lg.explode_display(pages),

@@ -1175,7 +1175,11 @@ def _job_lines(spark, sf):
 
 
 def _job_pages(spark, sf):
-    return jobs.job_base_log(_job_lines(spark, sf), ORDER)[jobs.PAGE]
+    return _base_log(spark, sf)[jobs.PAGE]
+
+
+def _base_log(spark, sf):
+    return jobs.job_base_log(_job_lines(spark, sf), ORDER, work_folder(spark, "base-log"))
 
 
 @query("job_base_log", f"""
@@ -1187,7 +1191,7 @@ def _job_pages(spark, sf):
         SELECT unnest([k, CAST(user_id AS VARCHAR), CAST(user_id AS VARCHAR)]) AS i
         FROM ok WHERE event_type = 'view')""")
 def job_base_log(spark, sf):
-    out = jobs.job_base_log(_job_lines(spark, sf), ORDER)
+    out = _base_log(spark, sf)
 
     def pick(topic, **columns):
         null = {"event_id": "bigint", "is_new": "string", "page_id": "string", "ts": "bigint",
