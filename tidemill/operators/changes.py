@@ -57,7 +57,7 @@ def current_state(changes: DataFrame, pk: str, order: list[str]) -> DataFrame:
     last = F.row_number().over(
         Window.partitionBy("pk").orderBy(*[F.col(c).desc() for c in order]))
     return (
-        keyed.withColumn("_place", last).where("_place = 1 AND NOT (op <=> 'd')")
+        keyed.withColumn("_row_no", last).where("_row_no = 1 AND NOT (op <=> 'd')")
         .select("pk", "row")
     )
 
@@ -78,7 +78,7 @@ def latest_rules(rules: DataFrame, order: list[str]) -> DataFrame:
     last = F.row_number().over(
         Window.partitionBy("sourceTable", "operateType")
         .orderBy(*[F.col(c).desc() for c in order]))
-    return rules.withColumn("_place", last).where("_place = 1").drop("_place")
+    return rules.withColumn("_row_no", last).where("_row_no = 1").drop("_row_no")
 
 
 def route_by_rule(changes: DataFrame, rules: DataFrame,

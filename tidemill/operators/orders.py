@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from tidemill import schemas
+from tidemill.functions.records import fields_of
 from tidemill.functions.times import age_in_years, text_to_millis, text_to_time
 from tidemill.operators.joins import dim_join, interval_join
 
@@ -35,16 +37,9 @@ _FROM_DETAIL = {"detail_id": "id", **{c: c for c in (
     "split_coupon_amount", "split_total_amount")}}
 
 
-def order_wide_fields() -> list[tuple[str, str]]:
-    """(name, type) of the order-wide record in order."""
-    text = " ".join(schemas.ORDER_WIDE.split())
-    fields = [f.strip() for f in text.replace("(16,2)", "(16;2)").split(",")]
-    return [tuple(f.replace(";", ",").split(" ", 1)) for f in fields]
-
-
 def merge_order_wide(joined: DataFrame, order: str = "o", detail: str = "d") -> DataFrame:
     """The order-wide record from a join with the two rows as structs ``o`` and ``d``."""
-    def source(name: str, kind: str) -> Column:
+    def source(name: str, kind: DataType) -> Column:
         if name in _FROM_ORDER:
             column = F.col(f"{order}.{_FROM_ORDER[name]}")
         elif name in _FROM_DETAIL:
@@ -53,7 +48,7 @@ def merge_order_wide(joined: DataFrame, order: str = "o", detail: str = "d") ->
             column = F.lit(None)
         return column.cast(kind).alias(name)
 
-    return joined.select(*[source(n, t) for n, t in order_wide_fields()])
+    return joined.select(*[source(f.name, f.dataType) for f in fields_of(schemas.ORDER_WIDE)])
 
 
 def _timed(df: DataFrame, struct: str, key: str, key_out: str, delay: str | None,

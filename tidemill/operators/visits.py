@@ -16,7 +16,7 @@ from tidemill.operators.logs import is_session_entry
 def first_per(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row per key. Spark keeps one row per key and task before the shuffle."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+    return df.withColumn("_row_no", place).where("_row_no = 1").drop("_row_no")
 
 
 def repair_is_new(logs: DataFrame, order: list[str], device: str = "common.mid") -> DataFrame:
@@ -29,15 +29,15 @@ def repair_is_new(logs: DataFrame, order: list[str], device: str = "common.mid")
     new = logs.where(flagged)
     identity = ["ts", *order]
     firsts = first_per(
-        new.select(F.col(device).alias("_device"), *[F.col(c).alias(f"_{c}") for c in identity]),
-        ["_device"], [f"_{c}" for c in identity])
+        new.select(F.col(device).alias("_device"), *[F.col(c).alias(f"_first_{c}") for c in identity]),
+        ["_device"], [f"_first_{c}" for c in identity])
     same_row = F.col(device).eqNullSafe(F.col("_device"))
     for c in identity:
-        same_row = same_row & (F.col(c) == F.col(f"_{c}"))
+        same_row = same_row & (F.col(c) == F.col(f"_first_{c}"))
     repaired = (
         new.join(firsts, same_row, "left")
         .withColumn("common", F.col("common").withField(
-            "is_new", F.when(F.col("_ts").isNotNull(), "1").otherwise("0")))
+            "is_new", F.when(F.col("_first_ts").isNotNull(), "1").otherwise("0")))
         .select(*logs.columns)
     )
     return logs.where(~flagged).unionByName(repaired)

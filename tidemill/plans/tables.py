@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tidemill import schemas
+from tidemill.functions.records import fields_of
 from tidemill.functions.times import second_text
 
 
@@ -179,10 +180,8 @@ def line_order_wide(lineitem: DataFrame) -> DataFrame:
     """Every line as an order-wide record at its ship date, without the order's own columns."""
     details = order_detail(lineitem)
     have = {c: F.col(c) for c in details.columns if c != "id"} | {"detail_id": F.col("id")}
-    from tidemill.operators.orders import order_wide_fields
-
-    return details.select(*[have.get(n, F.lit(None)).cast(t).alias(n)
-                            for n, t in order_wide_fields()])
+    return details.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in fields_of(schemas.ORDER_WIDE)])
 
 
 def dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,11 @@ def build_session(master: str = "local[8]", app: str = "tidemill", zone: str = "
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemill-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -48,6 +54,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

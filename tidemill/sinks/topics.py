@@ -19,11 +19,18 @@ def sink_topic(df: DataFrame, topics: Topics, topic: str, checkpoint: str | None
 
 
 def sink_topic_by_row(routed: DataFrame, topics: Topics, checkpoint: str | None = None,
-                      once: bool = False, default: str = "default_topic") -> StreamingQuery | None:
+                      once: bool = False, origin: str = "by_row",
+                      default: str = "default_topic") -> StreamingQuery | None:
     """The ``after`` image of each row to the topic its ``sink_table`` names."""
     rows = routed.select(F.to_json("after").alias("value"),
                          F.coalesce("sink_table", F.lit(default)).alias("topic"))
-    return _write(rows, topics, "by_row", "topic", checkpoint, once)
+    return sink_lines(rows, topics, origin, checkpoint, once)
+
+
+def sink_lines(lines: DataFrame, topics: Topics, origin: str, checkpoint: str | None = None,
+               once: bool = False) -> StreamingQuery | None:
+    """``topic, value`` lines to their topics; files lie below ``origin``."""
+    return _write(lines, topics, origin, "topic", checkpoint, once)
 
 
 def _write(rows: DataFrame, topics: Topics, topic: str, by: str | None,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemill.functions.records import json_columns
 from tidemill.functions.times import whole_seconds
 
 
@@ -43,8 +44,11 @@ def starting_options(mode: str, timestamp_ms: int | None = None,
 
 def read_topic(spark: SparkSession, topics: Topics, topic: str, streaming: bool = True,
                group: str | None = None, starting: dict[str, str] | None = None,
-               max_files: int | None = None) -> DataFrame:
-    """The lines of a topic as ``value STRING``; Kafka adds topic, partition and offset."""
+               max_files: int | None = None, origin: str | None = None) -> DataFrame:
+    """The lines of a topic as ``value STRING``; Kafka adds topic, partition and offset.
+
+    ``origin`` is, for files, the folder of a writer that spreads rows over several topics.
+    """
     reader = spark.readStream if streaming else spark.read
     if topics.servers:
         reader = (reader.format("kafka").option("kafka.bootstrap.servers", topics.servers)
@@ -55,14 +59,24 @@ def read_topic(spark: SparkSession, topics: Topics, topic: str, streaming: bool
                                     "topic", "partition", "offset")
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.format("text").load(topics.path(topic))
+    reader = reader.format("text")
+    if origin:
+        return (reader.schema("value STRING, topic STRING").load(topics.path(origin))
+                .where(F.col("topic") == topic).select("value"))
+    return reader.load(topics.path(topic))
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """Lines with ``place``, which orders those of equal time: the offset where the source has
+    one, else a hash of the text."""
+    place = F.col("offset") if "offset" in lines.columns else F.xxhash64("value")
+    return lines.select("value", place.alias("place"))
 
 
 def read_records(spark: SparkSession, topics: Topics, topic: str, schema: str,
                  streaming: bool = True, **options) -> DataFrame:
-    """The records of a topic that this library wrote, parsed with a fixed schema."""
-    lines = read_topic(spark, topics, topic, streaming, **options)
-    return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
+    """The records of a topic as typed columns, with their ``place``."""
+    return json_columns(with_place(read_topic(spark, topics, topic, streaming, **options)), schema)
 
 
 def json_table(lines: DataFrame, schema: str, row_time: Column, delay: str | None = None,
