@@ -49,16 +49,16 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 
 
 def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str | Column],
-             dim_key: str = "id", salts: int = 1) -> DataFrame:
+             dim_key: str = "id", max_broadcast_rows: int = 100_000,
+             salts: int = 16) -> DataFrame:
     """Left lookup: add ``attributes`` (output name -> dimension column) for ``key``.
 
     Rows without a match keep null attributes; repeated dimension keys never multiply rows
-    (the greatest row wins).
-    No broadcast is forced: Spark broadcasts the dimension only while its own size statistics
-    stay below ``spark.sql.autoBroadcastJoinThreshold``, and else joins by key, where adaptive
-    execution splits skewed keys. ``salts`` spreads hot (and null) keys over that many parts
-    for a dimension that is known to be large.
+    (the greatest row wins). A dimension counted to be small is broadcast. A larger one is
+    joined by key and salt: each row takes one of ``salts``, the dimension is shown to all,
+    so a hot key, and the rows with a null key, spread over that many tasks.
     """
+    base = df.drop(*attributes)
     picked = (
         dim.where(F.col(dim_key).isNotNull())
         .groupBy(F.col(dim_key).cast("string").alias("_dim_key"))
@@ -67,8 +67,9 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
         .select("_dim_key", "_dim.*")
     )
     on = F.col(key).cast("string") == F.col("_dim_key")
-    base = df.drop(*attributes)
-    if salts > 1:
+    if is_small(dim, max_broadcast_rows):
+        picked = F.broadcast(picked)
+    elif salts > 1:
         base = base.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         picked = picked.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = on & (F.col("_salt") == F.col("_dim_salt"))
@@ -80,6 +81,11 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
     )
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; a count, which reads no columns."""
+    return df.count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast after counting that it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

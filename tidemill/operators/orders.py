@@ -74,18 +74,17 @@ def join_order_detail(orders: DataFrame, details: DataFrame,
         left, right, "ok", "dk", "ok_time", "dk_time", lower, upper, salts=salts))
 
 
-def with_dimensions(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None,
-                    salts: int = 1) -> DataFrame:
+def with_dimensions(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None) -> DataFrame:
     """The six lookups of the order-wide record. ``dims`` is keyed by dimension table name."""
     now = as_of if as_of is not None else F.current_timestamp()
     out = dim_join(wide, dims["dim_user_info"], "user_id", {
-        "user_age": age_in_years(F.col("birthday"), now), "user_gender": "gender"}, salts=salts)
+        "user_age": age_in_years(F.col("birthday"), now), "user_gender": "gender"})
     out = dim_join(out, dims["dim_base_province"], "province_id", {
         "province_name": "name", "province_area_code": "area_code",
-        "province_iso_code": "iso_code", "province_3166_2_code": "iso_3166_2"}, salts=salts)
+        "province_iso_code": "iso_code", "province_3166_2_code": "iso_3166_2"})
     out = dim_join(out, dims["dim_sku_info"], "sku_id", {
-        "sku_name": "sku_name", **sku_links()}, salts=salts)
-    return with_product_names(out, dims, salts)
+        "sku_name": "sku_name", **sku_links()})
+    return with_product_names(out, dims)
 
 
 def sku_links() -> dict[str, Column]:
@@ -93,11 +92,11 @@ def sku_links() -> dict[str, Column]:
     return {c: F.col(c).try_cast("bigint") for c in ("category3_id", "spu_id", "tm_id")}
 
 
-def with_product_names(df: DataFrame, dims: dict[str, DataFrame], salts: int = 1) -> DataFrame:
-    out = dim_join(df, dims["dim_spu_info"], "spu_id", {"spu_name": "spu_name"}, salts=salts)
-    out = dim_join(out, dims["dim_base_trademark"], "tm_id", {"tm_name": "tm_name"}, salts=salts)
+def with_product_names(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    out = dim_join(df, dims["dim_spu_info"], "spu_id", {"spu_name": "spu_name"})
+    out = dim_join(out, dims["dim_base_trademark"], "tm_id", {"tm_name": "tm_name"})
     return dim_join(out, dims["dim_base_category3"], "category3_id",
-                    {"category3_name": "name"}, salts=salts)
+                    {"category3_name": "name"})
 
 
 def merge_payment_wide(joined: DataFrame, payment: str = "p", wide: str = "w") -> DataFrame:

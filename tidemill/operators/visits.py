@@ -50,29 +50,33 @@ def unique_visit(pages: DataFrame, order: list[str], device: str = "common.mid")
                      [device, "_day"], ["ts", *order]).drop("_day")
 
 
-def with_next(pages: DataFrame, order: list[str], gap_ms: int = 10_000,
-              device: str = "common.mid", bucket_gaps: int = 30) -> DataFrame:
-    """Entry rows with what follows within the gap: ``_next_entry`` is true when the next row
-    of the device is an entry row, false when it is not, null when none comes within ``gap_ms``.
-
-    Rows closer than one gap to the start of a time bucket are also shown to the bucket
-    before, so each bucket of a device is decided alone.
-    """
+def show_ahead(df: DataFrame, gap_ms: int, bucket_gaps: int) -> DataFrame:
+    """Put rows into time buckets of ``bucket_gaps`` gaps, as ``_bucket`` and ``_own``. Rows
+    closer than one gap to the start of a bucket are also shown, not owned, to the bucket
+    before, so the neighbours within one gap of an owned row are all in its bucket."""
     width = gap_ms * bucket_gaps
     bucket = F.floor(F.col("ts") / F.lit(width))
     own = F.struct(bucket.alias("id"), F.lit(True).alias("own"))
     ahead = F.when(F.pmod(F.col("ts"), F.lit(width)) < gap_ms,
                    F.struct((bucket - 1).alias("id"), F.lit(False).alias("own")))
-    shown = (
-        pages
-        .withColumn("_b", F.explode(F.filter(F.array(own, ahead), lambda b: b.isNotNull())))
-        .withColumn("_entry", is_session_entry())
+    both = F.filter(F.array(own, ahead), lambda b: b.isNotNull())
+    return (
+        df.withColumn("_b", F.explode(both))
+        .withColumn("_bucket", F.col("_b.id")).withColumn("_own", F.col("_b.own")).drop("_b")
     )
-    line = Window.partitionBy(F.col(device), F.col("_b.id")).orderBy("ts", *order)
+
+
+def with_next(pages: DataFrame, order: list[str], gap_ms: int = 10_000,
+              device: str = "common.mid", bucket_gaps: int = 30) -> DataFrame:
+    """Entry rows with what follows within the gap: ``_next_entry`` is true when the next row
+    of the device is an entry row, false when it is not, null when none comes within ``gap_ms``.
+    Each time bucket of a device is decided alone."""
+    shown = show_ahead(pages, gap_ms, bucket_gaps).withColumn("_entry", is_session_entry())
+    line = Window.partitionBy(F.col(device), "_bucket").orderBy("ts", *order)
     within = F.lead("ts").over(line) < F.col("ts") + gap_ms
     return (
         shown.withColumn("_next_entry", F.when(within, F.lead("_entry").over(line)))
-        .where(F.col("_b.own") & F.col("_entry"))
+        .where(F.col("_own") & F.col("_entry"))
         .select(*pages.columns, "_next_entry")
     )
 

@@ -95,11 +95,11 @@ def job_user_jump(pages: DataFrame, order: list[str], gap_ms: int = 10_000) -> D
 
 def job_order_wide(orders: DataFrame, details: DataFrame, dims: dict[str, DataFrame],
                    as_of: Column | None = None, lower: timedelta = timedelta(seconds=-5),
-                   upper: timedelta = timedelta(seconds=5), salts: int = 1) -> DataFrame:
+                   upper: timedelta = timedelta(seconds=5)) -> DataFrame:
     """Orders joined with their details in time, with user, province and product attributes."""
     delay = "0 seconds" if orders.isStreaming else None
     wide = od.join_order_detail(orders, details, lower, upper, delay)
-    return od.with_dimensions(wide, dims, as_of, salts)
+    return od.with_dimensions(wide, dims, as_of)
 
 
 def job_payment_wide(payments: DataFrame, wide: DataFrame,
@@ -116,18 +116,17 @@ def job_visitor_stats(unique_visits: DataFrame, jumps: DataFrame, pages: DataFra
 
 def job_product_stats(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame,
                       payments: DataFrame, refunds: DataFrame, comments: DataFrame,
-                      dims: dict[str, DataFrame], width: str = stats.WIDTH,
-                      salts: int = 1) -> DataFrame:
+                      dims: dict[str, DataFrame], width: str = stats.WIDTH) -> DataFrame:
     """Product statistics with product attributes; looked up once per window, not per row."""
     rows = products.union_product(pages, favors, carts, orders, payments, refunds, comments)
-    return with_products(stats.product_stats(rows, width), dims, salts)
+    return with_products(stats.product_stats(rows, width), dims)
 
 
-def with_products(reports: DataFrame, dims: dict[str, DataFrame], salts: int = 1) -> DataFrame:
+def with_products(reports: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     out = dim_join(reports, dims["dim_sku_info"], "sku_id", {
         "sku_name": "sku_name", "sku_price": F.col("price").try_cast("decimal(16,2)"),
-        **od.sku_links()}, salts=salts)
-    return od.with_product_names(out, dims, salts).select(*schemas.PRODUCT_STATS)
+        **od.sku_links()})
+    return od.with_product_names(out, dims).select(*schemas.PRODUCT_STATS)
 
 
 def job_province_stats(wide: DataFrame, width: str = stats.WIDTH,

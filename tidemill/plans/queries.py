@@ -777,13 +777,13 @@ _dim_query("dim_category3", "category3_id", ["category3_name"],
     FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_nationkey > 4""")
 def dim_join(spark, sf):
     """Any table serves as dimension; suppliers of the first nations are missing here. The
-    lookup is salted, as for a dimension too large to broadcast."""
+    lookup goes the way of a dimension too large to broadcast."""
     suppliers = t.table(spark, sf, "supplier").where("s_nationkey > 4")
     lines = t.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), "l_suppkey")
     return joins.dim_join(lines, suppliers, "l_suppkey", {
         "supplier_name": "s_name", "nation_id": F.col("s_nationkey").cast("bigint")},
-        dim_key="s_suppkey", salts=4).drop("l_suppkey")
+        dim_key="s_suppkey", max_broadcast_rows=0, salts=4).drop("l_suppkey")
 
 
 @query("route_by_rule", f"""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from tidemill.operators.logs import is_session_entry
+from tidemill.operators.visits import show_ahead
 
 _FLAG_TYPE = StructType([StructField("seen", BooleanType())])
 
@@ -17,7 +19,8 @@ _FLAG_TYPE = StructType([StructField("seen", BooleanType())])
 class _FirstOfDevice(StatefulProcessor):
     """Flags the first row of each device. Holds one row while it reads a batch.
 
-    State is one boolean per device and is kept for ever, unless ``ttl_ms`` is set.
+    Only keys of part 0 are devices and have state, one boolean per device; it is kept for ever, unless
+    ``ttl_ms`` is set. Rows of other parts are known not to be first.
     """
 
     def __init__(self, ttl_ms: int | None = None):
@@ -27,41 +30,56 @@ class _FirstOfDevice(StatefulProcessor):
         self._seen = handle.getValueState("seen", _FLAG_TYPE, self._ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._seen.exists():
+        if key[1] != 0 or self._seen.exists():
             for part in rows:
-                yield part.assign(is_first=False)
+                yield pd.DataFrame({"body": part["body"], "is_first": False})
             return
         best = None
         for part in rows:
             if best is not None:
                 part = pd.concat([best, part], ignore_index=True)
-            part = part.sort_values(["ts", "place"], kind="stable", ignore_index=True)
-            best, rest = part.iloc[:1], part.iloc[1:]
-            if len(rest):
-                yield rest.assign(is_first=False)
+            at = np.lexsort((part["place"].to_numpy(), part["ts"].to_numpy()))
+            best = part.iloc[at[:1]]
+            if len(part) > 1:
+                yield pd.DataFrame({"body": part["body"].iloc[at[1:]], "is_first": False})
         if best is not None:
             self._seen.update((True,))
-            yield best.assign(is_first=True)
+            yield pd.DataFrame({"body": best["body"], "is_first": True})
 
     def close(self) -> None:
         pass
 
 
+@F.pandas_udf(BooleanType())
+def _earliest_of_batch(device: pd.Series, ts: pd.Series, place: pd.Series) -> pd.Series:
+    """Whether a row is the earliest of its device within its Arrow batch."""
+    rows = pd.DataFrame({"device": device, "ts": ts, "place": place})
+    ordered = rows.sort_values(["ts", "place"], kind="stable")
+    return (~ordered.duplicated("device")).reindex(rows.index)
+
+
 def repair_is_new_stream(logs: DataFrame, order: str, device: str = "common.mid",
-                         ttl_ms: int | None = None) -> DataFrame:
+                         ttl_ms: int | None = None, parts: int = 32) -> DataFrame:
     """Stream form of ``repair_is_new``: the first row flagged new that reaches a device stays.
 
     Within a micro-batch the earliest by (``ts``, ``order``) counts as first. Rows flagged old
-    bypass the state. ``order`` is a BIGINT column such as the source offset.
+    bypass the state. Before the shuffle each Arrow batch picks its earliest row per device;
+    only those meet in the device's state, the others pass in ``parts`` groups without a
+    device, so a hot device does not gather in one task. ``order`` is a BIGINT column such as
+    the source offset.
     """
     flagged = F.col("common.is_new").eqNullSafe("1")
-    packed = logs.where(flagged).select(
-        F.col(device).alias("device"), "ts", F.col(order).alias("place"),
-        F.to_json(F.struct(*logs.columns)).alias("body"))
-    schema = "device STRING, ts BIGINT, place BIGINT, body STRING, is_first BOOLEAN"
-    decided = packed.groupBy("device").transformWithStateInPandas(
-        _FirstOfDevice(ttl_ms), schema, outputMode="Append", timeMode=(
-            "ProcessingTime" if ttl_ms else "None"))
+    packed = (
+        logs.where(flagged)
+        .select(F.col(device).alias("device"), "ts", F.col(order).alias("place"),
+                F.to_json(F.struct(*logs.columns)).alias("body"))
+        .withColumn("part", F.when(_earliest_of_batch("device", "ts", "place"), 0).otherwise(
+            F.pmod(F.xxhash64("ts", "place"), F.lit(parts)) + 1))
+        .withColumn("device", F.when(F.col("part") == 0, F.col("device")))
+    )
+    decided = packed.groupBy("device", "part").transformWithStateInPandas(
+        _FirstOfDevice(ttl_ms), "body STRING, is_first BOOLEAN", outputMode="Append",
+        timeMode="ProcessingTime" if ttl_ms else "None")
     repaired = (
         decided.select(F.from_json("body", logs.schema).alias("r"), "is_first")
         .select("r.*", "is_first")
@@ -76,15 +94,16 @@ _ROW_TYPE = StructType([
     StructField("ts", LongType()), StructField("place", LongType()),
     StructField("entry", BooleanType()), StructField("body", StringType())])
 _ROW = ["ts", "place", "entry", "body"]
-_TIME_TYPE = StructType([StructField("at", LongType())])
 
 
 class _JumpOfDevice(StatefulProcessor):
-    """Holds rows until the watermark shows that nothing can come between them any more.
+    """Holds the rows of one device and time bucket until the watermark shows that nothing can
+    come between them any more.
 
     A row is decided once the watermark reaches its time plus the gap; then its successor
-    within the gap, if there is one, has arrived. One timer per device is pending, at the
-    earliest undecided row. Rows wait at most gap + watermark delay.
+    within the gap, if there is one, has arrived. A timer stands at the earliest undecided
+    row, so rows wait at most gap + watermark delay. ``body`` is set for rows that are entries
+    and owned by the bucket.
     """
 
     def __init__(self, gap_ms: int):
@@ -93,7 +112,6 @@ class _JumpOfDevice(StatefulProcessor):
     def init(self, handle) -> None:
         self._handle = handle
         self._waiting = handle.getListState("waiting", _ROW_TYPE)
-        self._timer = handle.getValueState("timer", _TIME_TYPE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         earliest = None
@@ -102,54 +120,52 @@ class _JumpOfDevice(StatefulProcessor):
             low = int(part["ts"].min())
             earliest = low if earliest is None else min(earliest, low)
         if earliest is not None:
-            self._arm(earliest + self._gap_ms, timerValues)
+            self._handle.registerTimer(
+                max(earliest + self._gap_ms, timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._timer.clear()
-        now = timerValues.getCurrentWatermarkInMs()
-        rows = pd.DataFrame(list(self._waiting.get()), columns=_ROW).sort_values(
-            ["ts", "place"], kind="stable", ignore_index=True)
-        done = rows["ts"] + self._gap_ms <= now
-        late_or_none = ~(rows["ts"].shift(-1) < rows["ts"] + self._gap_ms)
-        next_entry = rows["entry"].shift(-1, fill_value=False).astype(bool)
-        jumped = rows[done & rows["entry"].astype(bool) & (late_or_none | next_entry)]
-        left = rows[~done]
-        if len(left):
-            self._waiting.put(list(left.itertuples(index=False, name=None)))
-            self._arm(int(left["ts"].iloc[0]) + self._gap_ms, timerValues)
+        now, gap = timerValues.getCurrentWatermarkInMs(), self._gap_ms
+        rows = sorted(self._waiting.get(), key=lambda r: (r[0], r[1]))
+        done = sum(ts + gap <= now for ts, _, _, _ in rows)
+        if not done:
+            return
+        jumped = []
+        for i in range(done):
+            ts, _, _, body = rows[i]
+            if body is not None:
+                after = rows[i + 1] if i + 1 < len(rows) else None
+                if after is None or after[0] >= ts + gap or after[2]:
+                    jumped.append(body)
+        left = rows[done:]
+        if left:
+            self._waiting.put(left)
+            self._handle.registerTimer(left[0][0] + gap)
         else:
             self._waiting.clear()
-        if len(jumped):
-            yield jumped[["body"]]
-
-    def _arm(self, at: int, timers) -> None:
-        """Keep one pending timer, at the earliest time asked for and after the watermark."""
-        at = max(at, timers.getCurrentWatermarkInMs() + 1)
-        pending = self._timer.get()[0] if self._timer.exists() else None
-        if pending is not None and pending <= at:
-            return
-        if pending is not None:
-            self._handle.deleteTimer(pending)
-        self._handle.registerTimer(at)
-        self._timer.update((at,))
+        if jumped:
+            yield pd.DataFrame({"body": jumped})
 
     def close(self) -> None:
         pass
 
 
 def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
-                     delay: str = "2 seconds", device: str = "common.mid") -> DataFrame:
+                     delay: str = "2 seconds", device: str = "common.mid",
+                     bucket_gaps: int = 30) -> DataFrame:
     """Stream form of ``user_jump``. A row is emitted after the watermark passes its gap; rows
-    later than the watermark are dropped."""
+    later than the watermark are dropped. State is kept per device and time bucket, as the
+    batch form sorts, so a busy device is several small keys."""
     body = F.when(is_session_entry(), F.to_json(F.struct(*pages.columns)))
-    packed = (
-        pages.select(F.timestamp_millis(F.col("ts")).alias("time"),
-                     F.col(device).alias("device"), "ts", F.col(order).alias("place"),
-                     is_session_entry().alias("entry"), body.alias("body"))
+    packed = pages.select(
+        F.timestamp_millis(F.col("ts")).alias("time"), F.col(device).alias("device"), "ts",
+        F.col(order).alias("place"), is_session_entry().alias("entry"), body.alias("body"))
+    shown = (
+        show_ahead(packed, gap_ms, bucket_gaps)
+        .withColumn("body", F.when(F.col("_own"), F.col("body"))).drop("_own")
         .withWatermark("time", delay)
     )
-    jumps = packed.groupBy("device").transformWithStateInPandas(
+    jumps = shown.groupBy("device", "_bucket").transformWithStateInPandas(
         _JumpOfDevice(gap_ms), "body STRING", outputMode="Append", timeMode="EventTime")
     return jumps.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
 
