@@ -91,14 +91,15 @@ def repair_is_new_stream(logs: DataFrame, order: str, device: str = "common.mid"
 
 
 _ROW_TYPE = StructType([
-    StructField("ts", LongType()), StructField("place", LongType()),
-    StructField("entry", BooleanType()), StructField("body", StringType())])
-_ROW = ["ts", "place", "entry", "body"]
+    StructField("device", StringType()), StructField("ts", LongType()),
+    StructField("place", LongType()), StructField("entry", BooleanType()),
+    StructField("body", StringType())])
+_ROW = _ROW_TYPE.fieldNames()
 
 
-class _JumpOfDevice(StatefulProcessor):
-    """Holds the rows of one device and time bucket until the watermark shows that nothing can
-    come between them any more.
+class _JumpsOfShard(StatefulProcessor):
+    """Holds the rows of some devices in one time bucket until the watermark shows that
+    nothing can come between them any more.
 
     A row is decided once the watermark reaches its time plus the gap; then its successor
     within the gap, if there is one, has arrived. A timer stands at the earliest undecided
@@ -114,37 +115,34 @@ class _JumpOfDevice(StatefulProcessor):
         self._waiting = handle.getListState("waiting", _ROW_TYPE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
+        earliest = []
         for part in rows:
             self._waiting.appendList(list(part[_ROW].itertuples(index=False, name=None)))
-            low = int(part["ts"].min())
-            earliest = low if earliest is None else min(earliest, low)
-        if earliest is not None:
+            earliest.append(int(part["ts"].min()))
+        if earliest:
             self._handle.registerTimer(
-                max(earliest + self._gap_ms, timerValues.getCurrentWatermarkInMs() + 1))
+                max(min(earliest) + self._gap_ms, timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now, gap = timerValues.getCurrentWatermarkInMs(), self._gap_ms
-        rows = sorted(self._waiting.get(), key=lambda r: (r[0], r[1]))
-        done = sum(ts + gap <= now for ts, _, _, _ in rows)
-        if not done:
+        rows = pd.DataFrame(list(self._waiting.get()), columns=_ROW).sort_values(
+            ["device", "ts", "place"], ignore_index=True)
+        done = rows["ts"] + gap <= now
+        if not done.any():
             return
-        jumped = []
-        for i in range(done):
-            ts, _, _, body = rows[i]
-            if body is not None:
-                after = rows[i + 1] if i + 1 < len(rows) else None
-                if after is None or after[0] >= ts + gap or after[2]:
-                    jumped.append(body)
-        left = rows[done:]
-        if left:
-            self._waiting.put(left)
-            self._handle.registerTimer(left[0][0] + gap)
+        followed = (rows["device"].shift(-1) == rows["device"]) & (
+            rows["ts"].shift(-1) < rows["ts"] + gap)
+        next_entry = rows["entry"].shift(-1, fill_value=False).astype(bool)
+        jumped = rows[done & rows["body"].notna() & (~followed | next_entry)]
+        left = rows[~done]
+        if len(left):
+            self._waiting.put(list(left.itertuples(index=False, name=None)))
+            self._handle.registerTimer(int(left["ts"].min()) + gap)
         else:
             self._waiting.clear()
-        if jumped:
-            yield pd.DataFrame({"body": jumped})
+        if len(jumped):
+            yield jumped[["body"]]
 
     def close(self) -> None:
         pass
@@ -152,21 +150,30 @@ class _JumpOfDevice(StatefulProcessor):
 
 def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
                      delay: str = "2 seconds", device: str = "common.mid",
-                     bucket_gaps: int = 30) -> DataFrame:
+                     bucket_gaps: int = 30, shards: int | None = None) -> DataFrame:
     """Stream form of ``user_jump``. A row is emitted after the watermark passes its gap; rows
-    later than the watermark are dropped. State is kept per device and time bucket, as the
-    batch form sorts, so a busy device is several small keys."""
+    later than the watermark are dropped.
+
+    State is kept per shard of devices and time bucket: shards make few calls for many quiet
+    devices, buckets (as in the batch form) make several keys of a busy one; fewer
+    ``bucket_gaps`` spread it further. ``shards`` (by default four per shuffle partition) must
+    stay the same for one checkpoint.
+    """
+    if shards is None:
+        shards = 4 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name = F.coalesce(F.concat(F.lit("="), F.col(device)), F.lit(""))
     body = F.when(is_session_entry(), F.to_json(F.struct(*pages.columns)))
     packed = pages.select(
-        F.timestamp_millis(F.col("ts")).alias("time"), F.col(device).alias("device"), "ts",
+        F.timestamp_millis(F.col("ts")).alias("time"), name.alias("device"), "ts",
         F.col(order).alias("place"), is_session_entry().alias("entry"), body.alias("body"))
     shown = (
         show_ahead(packed, gap_ms, bucket_gaps)
         .withColumn("body", F.when(F.col("_own"), F.col("body"))).drop("_own")
+        .withColumn("_shard", F.pmod(F.xxhash64("device"), F.lit(shards)))
         .withWatermark("time", delay)
     )
-    jumps = shown.groupBy("device", "_bucket").transformWithStateInPandas(
-        _JumpOfDevice(gap_ms), "body STRING", outputMode="Append", timeMode="EventTime")
+    jumps = shown.groupBy("_shard", "_bucket").transformWithStateInPandas(
+        _JumpsOfShard(gap_ms), "body STRING", outputMode="Append", timeMode="EventTime")
     return jumps.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
 
 
