@@ -149,12 +149,12 @@ def test_side_outputs_repeat_safely(spark, folder):
     assert spark.read.parquet(f"{folder}/y").count() == 2
 
 
-def test_own_state_provider_is_left_as_it_was(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    with run.rocksdb_state(spark):
-        assert "RocksDB" in spark.conf.get(key)
-    assert spark.conf.get(key) == before
+def test_own_settings_are_left_as_they_were(spark):
+    keys = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(k) for k in keys]
+    with run.stream_settings(spark):
+        assert "RocksDB" in spark.conf.get(keys[0])
+    assert [spark.conf.get(k) for k in keys] == before
 
 
 def _lines(spark, path, lines):

@@ -20,7 +20,7 @@ from tidemill.plans import jobs
 from tidemill.sinks import tables, topics as sinks
 from tidemill.sources.changes import change_envelopes, rule_table
 from tidemill.sources.topics import Topics, read_records, read_topic, with_place
-from tidemill.streaming.run import rocksdb_state, start_per_batch
+from tidemill.streaming.run import stream_settings, start_per_batch
 
 # The topics the jobs read and write.
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
@@ -70,7 +70,7 @@ class Place:
                 for name, columns in DIMENSIONS.items()}
 
     def to_topic(self, df: DataFrame, topic: str, job: str) -> StreamingQuery:
-        with rocksdb_state(self.spark):
+        with stream_settings(self.spark):
             return sinks.sink_topic(df, self.topics, topic, self.checkpoint(job), self.once)
 
     def to_report(self, df: DataFrame, table: str, transient: list[str] | None = None,
@@ -88,7 +88,7 @@ class Place:
 
 def base_log(at: Place) -> StreamingQuery:
     lines = with_place(read_topic(at.spark, at.topics, ODS_LOG))
-    with rocksdb_state(at.spark):
+    with stream_settings(at.spark):
         return sinks.sink_lines(jobs.base_log_lines(lines, ["place"]), at.topics, FROM_LOG,
                                 at.checkpoint("base_log"), at.once)
 

@@ -40,6 +40,14 @@ def build_session(master: str = "local[8]", app: str = "tidemill", zone: str = "
     return spark
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """How many parts the state of a stream has: the session's shuffle partitions, but on a
+    local master no more than its cores, since every part is a state store to commit."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tidemill-")

@@ -8,21 +8,24 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.session import ROCKSDB_PROVIDER, STATE_PROVIDER_KEY, work_folder
+from tidemill.session import (
+    ROCKSDB_PROVIDER, STATE_PROVIDER_KEY, state_partitions, work_folder)
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB; the session's own choice returns."""
-    before = spark.conf.get(STATE_PROVIDER_KEY, None)
-    spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, in ``state_partitions`` parts. The
+    session's own settings return afterwards; a running query keeps those it started with."""
+    wanted = {STATE_PROVIDER_KEY: ROCKSDB_PROVIDER,
+              "spark.sql.shuffle.partitions": str(state_partitions(spark))}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_PROVIDER_KEY)
-        else:
-            spark.conf.set(STATE_PROVIDER_KEY, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def start_to_files(df: DataFrame, path: str, checkpoint: str, once: bool = True,
@@ -34,7 +37,7 @@ def start_to_files(df: DataFrame, path: str, checkpoint: str, once: bool = True,
         .option("path", path).option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
-    with rocksdb_state(df.sparkSession):
+    with stream_settings(df.sparkSession):
         return writer.start()
 
 
@@ -51,7 +54,7 @@ def start_per_batch(df: DataFrame, write: Callable[[DataFrame, int], None], chec
     """Hand every micro-batch to ``write``; it must be repeatable for the same batch id."""
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
-    with rocksdb_state(df.sparkSession):
+    with stream_settings(df.sparkSession):
         return writer.start()
 
 

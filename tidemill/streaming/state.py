@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from tidemill.operators.logs import is_session_entry
 from tidemill.operators.visits import show_ahead
+from tidemill.session import state_partitions
 
 _FLAG_TYPE = StructType([StructField("seen", BooleanType())])
 
@@ -156,11 +157,11 @@ def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
 
     State is kept per shard of devices and time bucket: shards make few calls for many quiet
     devices, buckets (as in the batch form) make several keys of a busy one; fewer
-    ``bucket_gaps`` spread it further. ``shards`` (by default four per shuffle partition) must
+    ``bucket_gaps`` spread it further. ``shards`` (by default four per state partition) must
     stay the same for one checkpoint.
     """
     if shards is None:
-        shards = 4 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = 4 * state_partitions(pages.sparkSession)
     name = F.coalesce(F.concat(F.lit("="), F.col(device)), F.lit(""))
     body = F.when(is_session_entry(), F.to_json(F.struct(*pages.columns)))
     packed = pages.select(
