@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemill.plans.queries import ORACLE, QUERIES
 from compare import database, difference, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,15 +15,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    got = spark_rows(queries()[name](spark, FOLDER))
+    got = spark_rows(QUERIES[name](spark, FOLDER))
     assert got[1], "no rows"
-    assert difference(got, sql_rows(con, oracle_sql()[name])) is None
+    assert difference(got, sql_rows(con, ORACLE[name])) is None
