@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import mixing, urls
+from tidemill.llm import decontaminate, mixing, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return quality.quality_scores(docs, quality.quality_machine(docs, labels))
+
+
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_spans(_table(spark, folder, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it holds a passage."""
+    return decontaminate.contaminated(_table(spark, folder, "documents"),
+                                      _table(spark, folder, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The documents' sources, flattened as far as no source needs more than 1.25 passes."""
     return mixing.mixing_plan(_table(spark, folder, "documents"), max_repeats=MAX_REPEATS)
@@ -68,5 +83,8 @@ SELECT v.page_id, v.host, v.path, h.rule,
 FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canonical = l.canonical
 """
 
-QUERIES: dict[str, Query] = {"op8_mixing": op8_mixing, "op10_url_filter": op10_url_filter}
+QUERIES: dict[str, Query] = {
+    "op2_quality": op2_quality, "op5_secrets": op5_secrets,
+    "op7_decontaminate": op7_decontaminate, "op8_mixing": op8_mixing,
+    "op10_url_filter": op10_url_filter}
 ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL}
