@@ -17,7 +17,7 @@ WORD_SLOTS = 1 << 12
 FACTORS = 8
 #: At most this many labelled rows, by a hash of their ids, are fitted on the driver.
 FIT_ROWS = 6000
-EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.05, 1e-5
+EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.1, 1e-5
 KEEP = 0.7
 
 # Classes of bytes as masks over 256 values.

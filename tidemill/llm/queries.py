@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import decontaminate, mixing, quality, secrets, urls
+from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,10 +26,19 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(docs, quality.quality_machine(docs, labels))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return toxicity.toxicity_scores(docs, toxicity.toxicity_lexicon(docs, labels))
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, folder, "documents"))
 
 
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of a document and a benchmark item of which it holds a passage."""
     return decontaminate.contaminated(_table(spark, folder, "documents"),
@@ -84,7 +93,7 @@ FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canon
 """
 
 QUERIES: dict[str, Query] = {
-    "op2_quality": op2_quality, "op5_secrets": op5_secrets,
-    "op7_decontaminate": op7_decontaminate, "op8_mixing": op8_mixing,
-    "op10_url_filter": op10_url_filter}
+    "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
+    "op5_secrets": op5_secrets, "op6_minhash": op6_minhash, "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing, "op10_url_filter": op10_url_filter}
 ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL}
