@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, toxicity, urls
+from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, suffixtree, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 OP8_SQL = mixing.mixing_sql(MAX_REPEATS)
 
 
+def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixtree.scored(_table(spark, folder, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts by the rules, else by a list.
 
@@ -95,5 +99,6 @@ FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canon
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
     "op5_secrets": op5_secrets, "op6_minhash": op6_minhash, "op7_decontaminate": op7_decontaminate,
-    "op8_mixing": op8_mixing, "op10_url_filter": op10_url_filter}
+    "op8_mixing": op8_mixing, "op9_suffix_tree": op9_suffix_tree,
+    "op10_url_filter": op10_url_filter}
 ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL}
