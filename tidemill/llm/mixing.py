@@ -108,13 +108,15 @@ def mixing_plan(docs: DataFrame, max_repeats: float | None = None, entropy: floa
 
     first = _cut(rows, target.select("source", F.lit(0).cast("long").alias("prefix"), "room"),
                  50, 10)
-    second = _cut(rows, _ending(first), 40, 10)
-    third = _cut(rows, _ending(second), 0, 40)
+    second = _cut(rows, written(_ending(first), "mix-first"), 40, 10)
+    third = _cut(rows, written(_ending(second), "mix-second"), 0, 40)
     ends = (_last(first, 50).unionByName(_last(second, 40)).unionByName(_last(third, 0))
             .groupBy("source").agg(F.max("below").alias("below")))
-    plan = (target.alias("t").join(ends.alias("e"), same(F.col("t.source"), F.col("e.source")),
-                                   "left")
-            .select("t.source", "passes", F.coalesce("below", F.lit(0)).alias("below")))
+    # written, so that a hot source meets a plain table: sent whole if small, else split
+    plan = written(target.alias("t").join(ends.alias("e"), same(F.col("t.source"), F.col("e.source")),
+                                          "left")
+                   .select("t.source", "passes", F.coalesce("below", F.lit(0)).alias("below")),
+                   "mix-plan")
     drawn = rows.alias("r").join(plan.alias("p"), same(F.col("r.source"), F.col("p.source")))
     drawn = drawn.select(
         "doc_id", "r.source", F.col("tokens").alias("n_tokens"),
