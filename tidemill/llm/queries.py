@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, suffixtree, toxicity, urls
+from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, substrings, suffixtree, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, toxicity.toxicity_lexicon(docs, labels))
 
 
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, folder, "documents")).drop("kept_text")
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, folder, "documents"))
 
@@ -98,7 +102,8 @@ FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canon
 
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
-    "op5_secrets": op5_secrets, "op6_minhash": op6_minhash, "op7_decontaminate": op7_decontaminate,
+    "op4_substrings": op4_substrings, "op5_secrets": op5_secrets, "op6_minhash": op6_minhash,
+    "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing, "op9_suffix_tree": op9_suffix_tree,
     "op10_url_filter": op10_url_filter}
 ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL}
