@@ -15,8 +15,8 @@ from tidemill.llm.words import WordHashes, batches, binaries, lowered, mixed
 #: Word positions that must agree (1) or may differ (0).
 MASKS = ("110110101101", "101101110011", "111001011011")
 SPAN = len(MASKS[0])
-#: Filter of test-side seeds: 2^22 bits (512 KB) whatever the size of the benchmark.
-FILTER_BITS = 22
+#: Filter of test-side seeds, two bits each: 2^24 bits (2 MB) whatever the size of the benchmark.
+FILTER_BITS = 24
 #: Words kept on both sides of a run of hits, and the gap that ends a run.
 MARGIN = 64
 
@@ -34,6 +34,11 @@ def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total)
 
 
+def _second(hashes: np.ndarray) -> np.ndarray:
+    """Another hash, for the second bit in the filter."""
+    return mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93))
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """(item_key, item_id, n, words): words as 64-bit hashes."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,24 +60,25 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _seeds(items: DataFrame) -> DataFrame:
-    """(hash, item_key, place): every seed of every item; short items whole."""
+    """(hash, second, item_key, place): every seed of every item; short items whole."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            seeds, keys, places = [], [], []
+            seeds, seconds, keys, places = [], [], [], []
             for key, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 words = np.frombuffer(data, np.uint64)
                 for mask in MASKS if len(words) >= SPAN else ("1" * len(words),):
                     found = seed_hashes(words, mask)
                     seeds.append(found.view(np.int64))
+                    seconds.append(_second(found).view(np.int64))
                     keys.append(np.full(len(found), key, np.int64))
                     places.append(np.arange(len(found), dtype=np.int32))
             empty = [np.empty(0, np.int64)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x or empty).astype(t)) for x, t in (
-                    (seeds, np.int64), (keys, np.int64), (places, np.int32))],
-                ["hash", "item_key", "place"])
+                    (seeds, np.int64), (seconds, np.int64), (keys, np.int64), (places, np.int32))],
+                ["hash", "second", "item_key", "place"])
     return items.select("item_key", "words").mapInArrow(
-        run, "hash long, item_key long, place int")
+        run, "hash long, second long, item_key long, place int")
 
 
 def _runs(docs: DataFrame, masks: list[str], filter_bits: np.ndarray) -> DataFrame:
@@ -87,6 +93,7 @@ def _runs(docs: DataFrame, masks: list[str], filter_bits: np.ndarray) -> DataFra
                 for mask in masks:
                     found = seed_hashes(words, mask)
                     hit = np.flatnonzero(in_filter(filter_bits, found))
+                    hit = hit[in_filter(filter_bits, _second(found[hit]))]
                     places.append(hit)
                     seeds.append(found[hit])
                 place, seed = np.concatenate(places), np.concatenate(seeds)
@@ -157,11 +164,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     short = [r.n for r in items.where(F.col("n") < SPAN).select("n").distinct().collect()]
     masks = [*MASKS, *("1" * n for n in sorted(short))]
     seeds = _seeds(items)
-    runs = written(_runs(docs, masks, bit_filter(seeds, "hash", FILTER_BITS)), "seed-runs")
+    bits = bit_filter(seeds.select(F.explode(F.array("hash", "second")).alias("hash")), "hash",
+                      FILTER_BITS)
+    runs = written(_runs(docs, masks, bits), "seed-runs")
     hits = runs.select("doc_key", "first", F.explode(F.arrays_zip("places", "hashes")).alias("hit"))
     hits = hits.select("doc_key", "first", F.col("hit.places").alias("at"),
                        F.col("hit.hashes").alias("hash"))
-    aligned = (hits.join(seeds, "hash")
+    aligned = (hits.join(seeds.drop("second"), "hash")
                .select("doc_key", "first", "item_key", (F.col("at") - F.col("place"))
                        .alias("diagonal")).distinct())
     around = runs.select("doc_id", "doc_key", "first", "around").distinct()
