@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, substrings, suffixtree, toxicity, urls
+from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, subspaces, substrings, suffixtree, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_subspaces(spark: SparkSession, folder: str) -> DataFrame:
+    return subspaces.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     return quality.quality_scores(docs, quality.quality_machine(docs, labels))
@@ -101,7 +105,7 @@ FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canon
 """
 
 QUERIES: dict[str, Query] = {
-    "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
+    "op1_subspaces": op1_subspaces, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
     "op4_substrings": op4_substrings, "op5_secrets": op5_secrets, "op6_minhash": op6_minhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing, "op9_suffix_tree": op9_suffix_tree,
