@@ -93,7 +93,7 @@ def fitted(rows: list[Vector], labels: np.ndarray, seed: int = 7) -> Machine:
     weights, factors = np.zeros(size), random.normal(0, 0.01, (size, FACTORS))
     bias = 0.0
     if not len(rows) or labels.min() == labels.max():
-        share = labels.mean() if len(rows) else 0.5
+        share = labels.mean() if len(rows) else 1.0
         return Machine(float(np.clip(np.log((share + 1e-3) / (1 - share + 1e-3)), -3, 3)),
                        weights, factors * 0)
     dense = np.zeros((len(rows), size), np.float32)
@@ -166,7 +166,7 @@ def quality_scores(docs: DataFrame, machine: Machine, parts: int = 4, held: int
 
     Inputs are the text and ``n_chars`` (missing or null: 0). A null or empty text has the score
     of its metadata. Rows stand for themselves, whatever their ids; a null id is not held out.
-    Without labelled rows every score is the prior.
+    Without labelled rows, or with one label only, every score is that of the label (1 if none).
 
     Result: doc_id, held_out, score, predicted (1 from 0.7 on); one row per row.
     """

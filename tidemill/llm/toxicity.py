@@ -254,9 +254,9 @@ def toxicity_lexicon(docs: DataFrame, labels: DataFrame, parts: int = 5, held: i
 
 
 def _logistic(points: list[tuple]) -> np.ndarray:
-    """Newton steps with a small ridge; without both labels the prior."""
+    """Newton steps with a small ridge; one label only gives that label, none gives 0."""
     if not points:
-        return np.zeros(3)
+        return np.array([0.0, 0.0, -3.0])
     x = np.array([(p[2], p[3], 1.0) for p in points])
     y = np.array([p[1] for p in points], np.float64)
     if y.min() == y.max():
@@ -274,7 +274,7 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, parts: int = 5, held: int
 
     The only input is the text; null counts as empty, and an empty text has the score of no
     evidence. Rows stand for themselves, whatever their ids; a null id is not held out. Without
-    labelled rows every score is the prior.
+    labelled rows, or with one label only, every score is that of the label (0 if none).
 
     Result: doc_id, held_out, score, predicted (1 from 0.5 on); one row per row.
     """
