@@ -17,7 +17,7 @@ WORD_SLOTS = 1 << 12
 FACTORS = 8
 #: At most this many labelled rows, by a hash of their ids, are fitted on the driver.
 FIT_ROWS = 6000
-EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.1, 1e-5
+EPOCHS, BATCH, RATE, DECAY = 20, 256, 0.1, 1e-5
 KEEP = 0.7
 
 # Classes of bytes as masks over 256 values.
@@ -87,10 +87,11 @@ def probability(raw: float) -> float:
 
 
 def fitted(rows: list[Vector], labels: np.ndarray, seed: int = 7) -> Machine:
-    """Logistic loss, classes weighed alike, by Adagrad over small batches in a fixed order."""
+    """Logistic loss by Adagrad over small batches in a fixed order."""
     size = WORD_SLOTS + STATISTICS
     random = np.random.default_rng(seed)
-    weights, factors = np.zeros(size), random.normal(0, 0.01, (size, FACTORS))
+    weights = np.zeros(size, np.float32)
+    factors = random.normal(0, 0.01, (size, FACTORS)).astype(np.float32)
     bias = 0.0
     if not len(rows) or labels.min() == labels.max():
         share = labels.mean() if len(rows) else 1.0
@@ -99,30 +100,29 @@ def fitted(rows: list[Vector], labels: np.ndarray, seed: int = 7) -> Machine:
     dense = np.zeros((len(rows), size), np.float32)
     for i, x in enumerate(rows):
         dense[i, x.slots] = x.values
-    cost = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-    seen_b, seen_w, seen_v = 1e-8, np.full(size, 1e-8), np.full((size, FACTORS), 1e-8)
+    seen_b, seen_w, seen_v = 1e-8, np.full_like(weights, 1e-8), np.full_like(factors, 1e-8)
     for _ in range(EPOCHS):
         order = random.permutation(len(rows))
         for start in range(0, len(rows), BATCH):
             pick = order[start:start + BATCH]
-            x = dense[pick].astype(np.float64)
+            x = dense[pick]
             squares = x ** 2
             sums = x @ factors
             raw = bias + x @ weights + 0.5 * (
                 (sums ** 2).sum(1) - (squares @ factors ** 2).sum(1))
-            error = cost[pick] * (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - labels[pick])
-            error /= len(pick)
+            error = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - labels[pick]) / len(pick)
+            error = error.astype(np.float32)
             gradient_w = x.T @ error + DECAY * weights
             gradient_v = (x.T @ (error[:, None] * sums) - factors * (squares.T @ error)[:, None]
                           + DECAY * factors)
-            gradient_b = error.sum()
+            gradient_b = float(error.sum())
             seen_b += gradient_b ** 2
             seen_w += gradient_w ** 2
             seen_v += gradient_v ** 2
             bias -= RATE * gradient_b / np.sqrt(seen_b)
             weights -= RATE * gradient_w / np.sqrt(seen_w)
             factors -= RATE * gradient_v / np.sqrt(seen_v)
-    return Machine(float(bias), weights, factors)
+    return Machine(float(bias), weights.astype(np.float64), factors.astype(np.float64))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int,
