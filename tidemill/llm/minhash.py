@@ -56,13 +56,13 @@ def set_key(found: np.ndarray) -> bytes | None:
 
 
 def signed_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, key, minima) of each row."""
+    """(doc_id, mark, n_shingles, key, minima) of each row; the mark is a hash of the text."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         last: dict[bytes, bytes] = {}
         for part in batches(parts):
             sizes, keys, signs = [], [], []
-            for text in binaries(part.column(1)):
+            for text in binaries(part.column(2)):
                 found = shingles(lowered(text), known)
                 key = set_key(found)
                 if key is not None and key not in last:
@@ -73,10 +73,16 @@ def signed_documents(docs: DataFrame) -> DataFrame:
                 keys.append(key)
                 signs.append(last[key] if key is not None else None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "key", "minima"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, key binary, minima binary")
+                [part.column(0), part.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
+                ["doc_id", "mark", "n_shingles", "key", "minima"])
+    return docs.select(F.col("doc_id").cast("long"), _mark(F.col("text")).alias("mark"),
+                       "text").mapInArrow(
+        run, "doc_id long, mark long, n_shingles long, key binary, minima binary")
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,6 +179,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Result: doc_id, n_shingles, component_id, kept; one row per row.
     """
+    return _grouped(docs).drop("mark")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
     signed = written(signed_documents(docs), "minhash-signed")
     members = _members(signed)
     buckets = (members.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("first"),
@@ -201,25 +211,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         groups = components(links.unionByName(more), "a", "b")
 
-    named = signed.select("doc_id", "n_shingles", "key")
+    named = signed.select("doc_id", "mark", "n_shingles", "key")
     grouped = (named.where("key IS NOT NULL").join(
         groups.select(F.col("node").alias("key"), "component"), "key", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "key").alias("group")))
+        .select("doc_id", "mark", "n_shingles", F.coalesce("component", "key").alias("group")))
     smallest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    whole = grouped.join(smallest, "group").select("doc_id", "n_shingles", "component_id")
-    alone = named.where("key IS NULL").select("doc_id", "n_shingles",
+    whole = grouped.join(smallest, "group").select("doc_id", "mark", "n_shingles",
+                                                    "component_id")
+    alone = named.where("key IS NULL").select("doc_id", "mark", "n_shingles",
                                               F.col("doc_id").alias("component_id"))
     return whole.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns; the others are removed by their ids.
+    """One document of each group, with all its columns; the others are removed by id and text.
 
-    A document whose id comes more than once among those that stay is kept once.
+    Equal rows among those that stay are kept once.
     """
-    kept = written(near_duplicates(docs).select("doc_id", "kept"), "minhash-kept")
-    gone = kept.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
-    repeated = kept.where("kept").groupBy("doc_id").count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id"])
+    kept = written(_grouped(docs).select("doc_id", "mark", "kept"), "minhash-kept")
+    gone = kept.where("NOT kept").select(F.col("doc_id").alias("gone_id"),
+                                         F.col("mark").alias("gone_mark")).distinct()
+    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"])
+                     & (_mark(docs["text"]) == gone["gone_mark"]), "left_anti")
+    repeated = kept.where("kept").groupBy("doc_id", "mark").count().where("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
