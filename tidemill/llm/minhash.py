@@ -18,9 +18,11 @@ BANDS, ROWS = 40, 4
 HASHES = BANDS * ROWS
 SHINGLE = 5
 #: Links need ``SIMILAR`` percent; pairs whose minima agree in less than ``AGREE`` of the places
-#: (six standard deviations below 0.75) are not compared in full.
+#: (4.5 standard deviations below 0.75: 3 in a million pairs just linked) are not compared in full.
 SIMILAR = 75
-AGREE = 0.75 - 6 * (0.75 * 0.25 / HASHES) ** 0.5
+AGREE = 0.75 - 4.5 * (0.75 * 0.25 / HASHES) ** 0.5
+#: Rows of a bucket that one task compares with as many others.
+CHUNK = 2000
 #: Bits of the filter of documents to compare: 2 MB whatever their number.
 FILTER_BITS = 24
 
@@ -85,8 +87,8 @@ def _mark(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles) of the classes in ``wanted`` (key), from the texts.
+def _sets(docs: DataFrame, wanted: DataFrame, short: bool = False) -> DataFrame:
+    """(key, shingles) of the classes in ``wanted`` (key), from the texts; ``short``: 32 bits each.
 
     A filter of fixed size keeps most other sets from leaving the task; the join is exact.
     """
@@ -103,7 +105,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 key = set_key(found)
                 if key is not None and key not in sent and in_filter(
                         bits, np.array([int.from_bytes(key[9:], "big")], np.uint64))[0]:
-                    got[key] = found.tobytes()
+                    got[key] = (np.unique(found.astype(np.uint32)) if short else found).tobytes()
                     sent.add(key)
             if len(sent) > 500_000:
                 sent.clear()
@@ -120,7 +122,7 @@ def _members(signed: DataFrame) -> DataFrame:
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     part = F.expr(f"substring(minima, band * {4 * ROWS} + 1, {4 * ROWS})")
     return (signed.where("key IS NOT NULL").select("key", F.col("n_shingles").alias("n"), "minima", band)
-            .select(F.xxhash64("band", part).alias("bucket"), "key", "n"))
+            .select(F.xxhash64("band", part).alias("bucket"), "band", "key", "n"))
 
 
 def _alike_in_size(n: str, m: str) -> Column:
@@ -128,6 +130,82 @@ def _alike_in_size(n: str, m: str) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * SIMILAR
 
 
+def _open_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): classes of one bucket and different groups that are similar enough by shingles of
+    32 bits, which can only look more alike than they are.
+
+    Rows (bucket, band, key, n, group, minima, shingles) come sorted by bucket, and a bucket's
+    rows are compared in blocks: first the minima of all, then the shingles of what is left. A
+    full bucket is split into chunks, each pair of which is a part of its own, so no task holds
+    more than two chunks. A pair is returned from its first common band.
+    """
+    split = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+             .select("bucket", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")))
+    dealt = (members.join(split, "bucket")
+             .withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("bucket", F.least("chunk", "other").alias("low"),
+                     F.greatest("chunk", "other").alias("high"), "chunk", "band", "key", "n",
+                     "group", "minima", "shingles"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for part in batches(parts, 5000):
+            rows = pa.Table.from_batches([part])
+            rows = pa.concat_tables([rest, rows]).combine_chunks() if rest else rows
+            names = [rows.column(i).to_numpy() for i in range(3)]
+            edges = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
+            edges = [0, *edges.tolist()]
+            for start, end in zip(edges, edges[1:]):
+                yield from _near_pairs(rows.slice(start, end - start))
+            rest = rows.slice(edges[-1])
+        if rest:
+            yield from _near_pairs(rest)
+    return (dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+            .mapInArrow(run, "a binary, b binary"))
+
+
+def _near_pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of one part of a bucket."""
+    if len(rows) < 2:
+        return
+    keys, groups = rows.column("key").to_pylist(), rows.column("group").to_pylist()
+    ids = {g: i for i, g in enumerate(set(groups))}
+    group = np.array([ids[g] for g in groups])
+    chunk, sizes = rows.column("chunk").to_numpy(), rows.column("n").to_numpy()
+    across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+    band = rows.column("band")[0].as_py()
+    signs = np.frombuffer(b"".join(rows.column("minima").to_pylist()), np.uint32).reshape(
+        -1, HASHES)
+    places = np.ascontiguousarray(signs.T)
+    sets = [np.frombuffer(x, np.uint32) for x in rows.column("shingles").to_pylist()]
+    a, b = [], []
+    for start in range(0, len(keys), 256):
+        own = np.arange(start, min(start + 256, len(keys)))
+        agreed = np.zeros((len(own), len(keys)), np.int16)
+        for place in places:
+            agreed += place[own][:, None] == place
+        fits = (agreed >= AGREE * HASHES) & (group[own][:, None] != group)
+        fits &= np.arange(len(keys)) > own[:, None]
+        fits &= (np.minimum(sizes[own][:, None], sizes) * 100
+                 >= np.maximum(sizes[own][:, None], sizes) * SIMILAR)
+        if across:
+            fits &= chunk[own][:, None] != chunk
+        i, j = np.nonzero(fits)
+        i = own[i]
+        if len(i):
+            same = (signs[i] == signs[j]).reshape(-1, BANDS, ROWS).all(2)
+            first = same.argmax(1) == band
+            for x, y in zip(i[first].tolist(), j[first].tolist()):
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= (SIMILAR - 1) * (len(sets[x]) + len(sets[y]) - common):
+                    a.append(keys[x])
+                    b.append(keys[y])
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+                                         ["a", "b"])
+
+
 def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     def agree(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +246,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts with equal shingle sets are one class, whatever the number of copies. Classes that
     share a band's four minima meet in a bucket. First each is compared with the bucket's
-    smallest class; after the components of these links, classes of a bucket that are still in
-    different components are compared with each other (the smallest has been compared already).
-    A pair is confirmed by the minima, then on the full sets, so a bucket of a thousand near
-    copies costs a thousand comparisons, and no link between components is missed in a bucket.
+    center, the class that meets most others in all its buckets (of a text and its altered
+    copies, the text); after the components of these links, classes of a bucket that are still
+    in different components are compared with each other, in blocks. A pair is confirmed by the
+    minima, then on the full sets, so a bucket of a thousand near copies costs a thousand
+    comparisons, and no link between components is missed in a bucket.
 
     Null texts and texts without words are linked with nothing. Ids may be null or repeated: rows
     with equal sets are in one group, a null id is never a group's smallest. Other columns
@@ -185,29 +264,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     signed = written(signed_documents(docs), "minhash-signed")
     members = _members(signed)
-    buckets = (members.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("first"),
-                                             F.max("key").alias("last"))
-               .where("first.key != last"))
-    shared = written(members.join(buckets.select("bucket", "first"), "bucket").distinct(),
-                     "minhash-buckets")
-    star = (shared.where((F.col("key") != F.col("first.key"))
-                         & _alike_in_size("n", "first.n"))
-            .select(F.col("first.key").alias("a"), F.col("key").alias("b")).distinct())
+    buckets = (members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high"),
+                                             F.count(F.lit(1)).alias("size"))
+               .where("low != high").select("bucket", "size"))
+    met = written(members.join(buckets, "bucket").distinct(), "minhash-met")
+    fame = met.groupBy("key").agg(F.sum("size").alias("fame"))
+    centers = (met.join(fame, "key").groupBy("bucket").agg(
+        F.max_by(F.struct("key", "n"), F.struct("fame", "key")).alias("center")))
+    shared = written(met.drop("size").join(centers, "bucket"), "minhash-buckets")
+    star = (shared.where((F.col("key") != F.col("center.key"))
+                         & _alike_in_size("n", "center.n"))
+            .select(F.least("key", "center.key").alias("a"),
+                    F.greatest("key", "center.key").alias("b")).distinct())
     links = _linked(docs, signed, star)
     groups = components(links, "a", "b")
 
     placed = shared.join(groups, shared["key"] == groups["node"], "left").select(
-        "bucket", "key", "n", "first", F.coalesce("component", "key").alias("group"))
+        "bucket", "band", "key", "n", "center", F.coalesce("component", "key").alias("group"))
     mixed_buckets = (placed.groupBy("bucket").agg(F.min("group").alias("low"),
                                                   F.max("group").alias("high"))
                      .where("low != high").select("bucket"))
-    open_members = written(placed.where(F.col("key") != F.col("first.key"))
-                           .join(mixed_buckets, "bucket").drop("first"), "minhash-open")
-    x, y = open_members.alias("x"), open_members.alias("y")
-    rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key"))
-                   & (F.col("x.group") != F.col("y.group")) & _alike_in_size("x.n", "y.n"))
-            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
-    more = _linked(docs, signed, rest)
+    open_members = written(placed.where(F.col("key") != F.col("center.key"))
+                           .join(mixed_buckets, "bucket").drop("center"), "minhash-open")
+    keys = written(open_members.select("key").distinct(), "minhash-wanted")
+    signs = (signed.join(keys, "key", "left_semi").groupBy("key")
+             .agg(F.first("minima").alias("minima")))
+    beside = written(signs.join(_sets(docs, keys, short=True), "key"), "minhash-beside")
+    more = _linked(docs, signed, _open_pairs(open_members.join(beside, "key")))
     if not more.isEmpty():
         groups = components(links.unionByName(more), "a", "b")
 
