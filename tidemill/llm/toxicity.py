@@ -134,8 +134,9 @@ def decoded(token: str, model: np.ndarray, spaced: bool = False) -> str:
 
 
 def restored(token: str, model: np.ndarray) -> str:
-    """A lower-cased token without its edges; decoded if it looks disguised."""
-    core = token.strip(EDGES)
+    """A lower-cased token without its edges (a first "!" may be a letter); decoded if it looks
+    disguised."""
+    core = token.rstrip(EDGES).lstrip(EDGES.replace("!", ""))
     if core.isalpha() and not LONG_RUN.search(core):
         return core
     parts = JOINTS.split(core)
