@@ -79,13 +79,13 @@ RULES = [("base_trademark", "c", "hbase", "dim_base_trademark", "id,tm_name", No
          ("click", "c", "clickhouse", "x", "id", "id", None)]
 
 
-@pytest.mark.parametrize("max_rules", [100, 1])
-def test_routes(spark, max_rules):
+@pytest.mark.parametrize("max_bytes", [1 << 20, 1])
+def test_routes(spark, max_bytes):
     rows = [change("c", after=A), change("u", before=A, after=B), change("d", before=B),
             change("c", "order_info", after={"id": "5", "other": "z"}),
             change("c", "unruled", after=A), change("c", "click", after=A), change(None, after=A)]
     routed = ch.route_by_rule(ch.drop_deletes(changes(spark, rows)),
-                              spark.createDataFrame(RULES, schemas.RULE), max_rules)
+                              spark.createDataFrame(RULES, schemas.RULE), max_bytes)
     assert [(r.sink_table, r.after) for r in ch.to_topics(routed).collect()] == [
         ("dwd_order_info", {"id": "5"})]
     dims = {r.op: r for r in ch.to_dimensions(routed).collect()}
@@ -113,7 +113,25 @@ def test_last_rule_wins(spark):
 
 def _dim_rows(spark, rows):
     routed = changes(spark, rows)
-    return routed.withColumn("sink_pk", F.lit("id")).withColumn("sink_table", F.lit("dim"))
+    return routed.withColumn("pk", F.col("after")["id"]).withColumn("sink_table", F.lit("dim"))
+
+
+def test_key_need_not_be_listed_and_null_keys_are_dirty(spark, folder):
+    rules = spark.createDataFrame(
+        [("t", "c", "hbase", "dim", "name", "id", None)], schemas.RULE)
+    rows = changes(spark, [change("c", "t", after={"id": "1", "name": "a"}),
+                           change("c", "t", after={"id": "2", "name": "b"}),
+                           change("c", "t", after={"id": None, "name": "c"}),
+                           change("c", "t", after={"name": "d"})])
+    routed = ch.route_by_rule(rows, rules)
+    st.upsert_batch(ch.to_dimensions(routed), folder, 0)
+    assert sorted(r.name for r in st.read_dimension(spark, folder, "dim", ["name"]).collect()) == ["a", "b"]
+    assert ch.without_key(routed).count() == 2
+
+
+def test_dimension_never_written_is_empty(spark, folder):
+    got = st.read_dimension(spark, folder + "/none", "dim", ["id", "a"])
+    assert got.columns == ["id", "a"] and got.count() == 0
 
 
 def test_upsert_is_repeatable_and_merges_columns(spark, folder):
@@ -165,5 +183,5 @@ def test_topics(spark, folder):
 
 
 def test_console(spark, capfd):
-    sinks.sink_console(spark.createDataFrame([("shown",)], "a STRING"))
+    sinks.sink_console(spark.createDataFrame([("shown",)], "a STRING"), 5)
     assert "shown" in capfd.readouterr().out

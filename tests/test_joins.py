@@ -119,11 +119,11 @@ def test_order_dimensions_keep_rows_without_match(spark):
     assert len(row) == 35
 
 
-@pytest.mark.parametrize("max_rows, salts", [(100, 16), (0, 1), (0, 5)])
-def test_repeated_and_missing_dimension_keys(spark, max_rows, salts):
+@pytest.mark.parametrize("max_bytes, salts", [(1000, 16), (0, 1), (0, 5)])
+def test_repeated_and_missing_dimension_keys(spark, max_bytes, salts):
     rows = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 2, None, 3])], "i INT, k INT")
     dim = spark.createDataFrame([("1", "a"), ("1", "b"), (None, "n"), ("2", None)], "id STRING, v STRING")
-    got = joins.dim_join(rows, dim, "k", {"v": "v"}, max_broadcast_rows=max_rows, salts=salts)
+    got = joins.dim_join(rows, dim, "k", {"v": "v"}, max_broadcast_bytes=max_bytes, salts=salts)
     assert sorted((r.i, r.v) for r in got.collect()) == [
         (0, "b"), (1, "b"), (2, None), (3, None), (4, None)]
 
@@ -134,16 +134,22 @@ def test_large_dimension_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         rows = spark.range(10).withColumnRenamed("id", "k")
         dim = spark.range(10).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("v"))
-        got = joins.dim_join(rows, dim, "k", {"v": "v"}, max_broadcast_rows=5)
+        got = joins.dim_join(rows, dim, "k", {"v": "v"}, max_broadcast_bytes=5)
         assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
         assert got.where("v = 'x'").count() == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_broadcast_only_when_counted_small(spark):
-    assert "broadcast" in joins.broadcast_if_small(spark.range(3), 3)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_if_small(spark.range(4), 3)._jdf.queryExecution().toString()
+def test_small_is_a_matter_of_bytes(spark):
+    one = spark.createDataFrame([("x" * 1000,)], "v STRING")
+    assert not joins.is_small(one, 1000) and joins.is_small(spark.range(10), 1000)
+    assert joins.is_small(one.limit(0), 0)
+
+
+def test_salts_spread_a_hot_key_of_one_partition(spark):
+    rows = spark.range(1000).coalesce(1)
+    assert rows.select(joins.row_salt(16).alias("s")).distinct().count() == 16
 
 
 def test_product_stats_counts_distinct_orders(spark):

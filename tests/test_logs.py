@@ -1,3 +1,4 @@
+import json
 import random
 from datetime import datetime, timezone
 
@@ -13,7 +14,10 @@ from tidemill.plans import jobs
 @pytest.mark.parametrize("text, dirty", [
     ('{"ts":1}', False), ("{}", False), (' {"ts":1} \n', False), ('{"unknown":1}', False),
     ('{"ts":1', True), ("[1]", True), ('[{"ts":1}]', True), ("null", True), ("", True),
-    (None, True), ("words", True), ('{"ts":1} x', True)])
+    (None, True), ("words", True), ('{"ts":1} x', True), ('{"ts":1}{"ts":2}', True),
+    ('{"ts":1} x}', True), ('{"a":1}],[{}', True), ('{"a":1}},{"b":{}', True), ('{"a":1},{"b":2}', True),
+    ('{"ts":"1608280220000"}', False), ('{"page":{"during_time":"12"}}', False),
+    ('{"page":{"during_time":12.5}}', False), ('{"start":""}', False), ('{"common":5}', False)])
 def test_dirty_lines(spark, text, dirty):
     df = spark.createDataFrame([(1, text)], "id INT, value STRING")
     clean, bad = lg.split_dirty(df, schemas.LOG)
@@ -21,6 +25,12 @@ def test_dirty_lines(spark, text, dirty):
     assert bad.columns == ["id", "value"]
 
 
+def test_numbers_as_text(spark):
+    df = spark.createDataFrame([('{"ts":"1608280220000","page":{"during_time":"12","item":7}}',)], "value STRING")
+    row = lg.split_dirty(df, schemas.LOG)[0].first()
+    assert (row.ts, row.page.during_time, row.page["item"]) == (1608280220000, 12, "7")
+
+
 def test_text_is_parsed_once(spark):
     df = spark.createDataFrame([('{"ts":1}',)], "value STRING")
     plan = lg.split_dirty(df, schemas.LOG)[0]._jdf.queryExecution().optimizedPlan().toString()
@@ -49,12 +59,43 @@ def test_one_pass_lines_equal_the_frames(spark):
     got = jobs.base_log_lines(lines, ["place"]).collect()
     assert sorted(r.topic for r in got) == ["dirty"] + ["dwd_display_log"] * 2 + ["dwd_page_log"] * 3
     frames = jobs.job_base_log(lines, ["place"])
-    fields = ["common", "start", "page", "displays", "ts"]
-    want = frames["dwd_page_log"].select(F.to_json(F.struct(*fields)).alias("v")).collect()
-    assert sorted(r.v for r in want) == sorted(r.value for r in got if r.topic == "dwd_page_log")
-    shown = frames["dwd_display_log"]
-    want = shown.select(F.to_json(F.struct(*shown.columns)).alias("v")).collect()
-    assert sorted(r.v for r in want) == sorted(r.value for r in got if r.topic == "dwd_display_log")
+    def texts(topic, columns):
+        rows = frames[topic].select(F.to_json(F.struct(*columns)).alias("v")).collect()
+        return sorted((json.loads(r.v) for r in rows), key=str)
+
+    def lines_of(topic):
+        return sorted((json.loads(r.value) for r in got if r.topic == topic), key=str)
+
+    def unordered(rows):
+        return sorted((json.dumps(r, sort_keys=True) for r in rows))
+
+    for topic, columns in (("dwd_page_log", ["common", "start", "page", "displays", "ts"]),
+                           ("dwd_display_log", frames["dwd_display_log"].columns)):
+        assert unordered(texts(topic, columns)) == unordered(lines_of(topic))
+
+
+def test_lines_pass_whole(spark):
+    lines = ['{"ts":1,"err":{"code":5},"common":{"mid":"m","sid":"s9","is_new":"1"},"page":{"page_id":"p"},'
+             '"displays":[{"item":"1","shade":{"x":2}}]}',
+             '{"ts":2,"err":{"code":6},"common":{"mid":"m","sid":"s8","is_new":"1"},"page":{"page_id":"p"}}']
+    df = spark.createDataFrame(list(enumerate(lines)), "place BIGINT, value STRING")
+    got = sorted((r.topic, r.value) for r in jobs.base_log_lines(df, ["place"]).collect())
+    repaired = json.loads(lines[1])
+    repaired["common"]["is_new"] = "0"
+    assert [(t, json.loads(v)) for t, v in got] == [
+        ("dwd_display_log", {"item": "1", "shade": {"x": 2}, "page_id": "p"}),
+        ("dwd_page_log", repaired), ("dwd_page_log", json.loads(lines[0]))] or [
+        (t, json.loads(v)) for t, v in got] == [
+        ("dwd_display_log", {"item": "1", "shade": {"x": 2}, "page_id": "p"}),
+        ("dwd_page_log", json.loads(lines[0])), ("dwd_page_log", repaired)]
+    assert lines[0] in [v for _, v in got]
+
+
+def test_first_row_without_a_time(spark):
+    df = pages(spark, [page("m", None, place=0, is_new="1"), page("m", 5, place=1, is_new="1"),
+                       page("m", 6, place=2, is_new="1")])
+    got = {r.place: r.common.is_new for r in visits.repair_is_new(df, ["place"]).collect()}
+    assert got == {0: "1", 1: "0", 2: "0"}
 
 
 def test_session_entry(spark):

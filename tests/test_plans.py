@@ -89,7 +89,7 @@ def test_salted_lookup_joins_on_key_and_salt(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         rows = spark.range(100).withColumnRenamed("id", "k")
-        text = plan(joins.dim_join(rows, spark.range(50), "k", {"v": "id"}, max_broadcast_rows=9))
+        text = plan(joins.dim_join(rows, spark.range(50), "k", {"v": "id"}, max_broadcast_bytes=9))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert re.search(r"SortMergeJoin \[[^\]]*_salt", text)

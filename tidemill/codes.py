@@ -19,12 +19,3 @@ SOURCE_SEARCH = "SEARCH"
 # Text forms of times.
 DAY_FORMAT = "yyyy-MM-dd"
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-# Code lists of the shop's own tables, for labelling reports.
-CODE_LABELS = {
-    "order_status": {"1001": "unpaid", "1002": "paid", "1003": "cancelled",
-                     "1004": "finished", "1005": "refunding", "1006": "refunded"},
-    "payment_type": {"1101": "alipay", "1102": "wechat", "1103": "unionpay"},
-    "appraise": {"1201": "good", "1202": "medium", "1203": "bad", "1204": "automatic"},
-    "keyword_source": {"SEARCH": "search", "CLICK": "click", "CART": "cart", "ORDER": "order"},
-}

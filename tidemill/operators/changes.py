@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemill import codes
-from tidemill.operators.joins import broadcast_if_small
+from tidemill.operators.joins import is_small, row_salt
 
 _EMPTY = "CAST(map() AS MAP<STRING, STRING>)"
 
@@ -82,21 +82,30 @@ def latest_rules(rules: DataFrame, order: list[str]) -> DataFrame:
 
 
 def route_by_rule(changes: DataFrame, rules: DataFrame,
-                  max_broadcast_rules: int = 50_000) -> DataFrame:
-    """Changes that have a rule, pruned, with ``sink_table``, ``sink_type`` and ``sink_pk``.
+                  max_broadcast_bytes: int = 32 << 20, salts: int = 16) -> DataFrame:
+    """Changes that have a rule, pruned, with ``sink_table``, ``sink_type``, ``sink_pk`` and the
+    value of that key, ``pk``, which the rule need not list among its columns.
 
     One rule per source table and operation is expected, see ``latest_rules``. The rules are
-    broadcast while they are counted to be few; beyond that the join is by key.
+    broadcast while they are measured to be small. Beyond that the join is by key and salt:
+    there are few tables and operations, so each change takes one of ``salts`` and the rules are
+    shown to all. The result is the same.
     """
-    small = broadcast_if_small(
-        rules.select(
-            "sourceTable", "operateType", "sinkColumns",
-            F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
-            F.coalesce("sinkPk", F.lit("id")).alias("sink_pk")),
-        max_broadcast_rules)
-    joined = changes.join(
-        small, (F.col("source.table") == F.col("sourceTable"))
-        & (F.col("op") == F.col("operateType")), "inner")
+    picked = rules.select(
+        "sourceTable", "operateType", "sinkColumns",
+        F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
+        F.coalesce("sinkPk", F.lit("id")).alias("sink_pk"))
+    on = ((F.col("source.table") == F.col("sourceTable"))
+          & (F.col("op") == F.col("operateType")))
+    if is_small(picked, max_broadcast_bytes):
+        picked = F.broadcast(picked)
+    else:
+        changes = changes.withColumn("_salt", row_salt(salts))
+        picked = picked.withColumn("_rule_salt", F.explode(
+            F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (F.col("_salt") == F.col("_rule_salt"))
+    joined = changes.join(picked, on, "inner").drop("_salt", "_rule_salt").withColumn(
+        "pk", F.try_element_at("after", F.col("sink_pk")))
     return prune_sink_columns(joined).drop("sourceTable", "operateType", "sinkColumns")
 
 
@@ -105,4 +114,10 @@ def to_topics(routed: DataFrame) -> DataFrame:
 
 
 def to_dimensions(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col("sink_type") == codes.SINK_DIMENSION)
+    """Dimension rows that have a key."""
+    return routed.where((F.col("sink_type") == codes.SINK_DIMENSION) & F.col("pk").isNotNull())
+
+
+def without_key(routed: DataFrame) -> DataFrame:
+    """Dimension rows whose key is null or missing: no row of the table is theirs."""
+    return routed.where((F.col("sink_type") == codes.SINK_DIMENSION) & F.col("pk").isNull())

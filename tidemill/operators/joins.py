@@ -36,7 +36,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_bucket") == F.col("_right_bucket"))
     if salts > 1:
         left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        right = right.withColumn("_right_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        right = right.withColumn("_right_salt", row_salt(salts))
         on = on & (F.col("_salt") == F.col("_right_salt"))
     after = F.col(right_time) >= shifted(lower) if lower_inclusive \
         else F.col(right_time) > shifted(lower)
@@ -48,14 +48,19 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     )
 
 
+def row_salt(salts: int) -> Column:
+    """A salt that differs from row to row, also within one partition."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+
+
 def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str | Column],
-             dim_key: str = "id", max_broadcast_rows: int = 100_000,
+             dim_key: str = "id", max_broadcast_bytes: int = 32 << 20,
              salts: int = 16) -> DataFrame:
     """Left lookup: add ``attributes`` (output name -> dimension column) for ``key``.
 
     Rows without a match keep null attributes; repeated dimension keys never multiply rows
-    (the greatest row wins). A dimension counted to be small is broadcast. A larger one is
-    joined by key and salt: each row takes one of ``salts``, the dimension is shown to all,
+    (the greatest row wins). A dimension whose text was measured to be small is broadcast; the
+    result does not depend on it. A larger one is joined by key and salt: each row takes one of ``salts``, the dimension is shown to all,
     so a hot key, and the rows with a null key, spread over that many tasks.
     """
     base = df.drop(*attributes)
@@ -67,10 +72,10 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
         .select("_dim_key", "_dim.*")
     )
     on = F.col(key).cast("string") == F.col("_dim_key")
-    if is_small(dim, max_broadcast_rows):
+    if is_small(picked, max_broadcast_bytes):
         picked = F.broadcast(picked)
     elif salts > 1:
-        base = base.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        base = base.withColumn("_salt", row_salt(salts))
         picked = picked.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = on & (F.col("_salt") == F.col("_dim_salt"))
     joined = base.join(picked, on, "left")
@@ -81,11 +86,7 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
     )
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; a count, which reads no columns."""
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast after counting that it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def is_small(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the rows of ``df`` as text take at most ``max_bytes``; one pass over them."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes

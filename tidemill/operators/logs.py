@@ -3,29 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tidemill import codes
 
-_BROKEN = "_broken"
+
+
+def _as_text(kind: DataType) -> DataType:
+    """The type with every simple part as text."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_as_text(kind.elementType))
+    return kind if isinstance(kind, MapType) else StringType()
+
+
+def is_one_object(value: str) -> Column:
+    """The text is exactly one JSON object. A parser stops after the first value, so the text
+    must be the one element of an array and the one value of an object: what closes the one
+    early breaks the other."""
+    inside = F.expr(f"try_variant_get(try_parse_json(concat('[', {value}, ']')), '$', 'array<variant>')")
+    wrapped = F.expr(f"try_parse_json(concat('{{\"r\":', {value}, '}}'))")
+    return (F.coalesce(F.size(inside), F.lit(0)) == 1) & F.try_variant_get(
+        wrapped, "$.r", "map<string,variant>").isNotNull()
 
 
 def parse_lines(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Add ``record`` (the parsed object) and ``is_dirty``.
 
-    Dirty is whatever is not one JSON object readable with ``schema``: broken JSON, arrays,
-    ``null``, empty or missing text, or text after the closing brace. The record passes an
-    ``explode`` of one element, which keeps Catalyst from parsing the text again in every
-    filter and projection above.
+    Dirty is whatever is not exactly one JSON object: broken JSON, arrays, ``null``, empty or
+    missing text, text after the closing brace. Simple fields may be numbers or text; what does
+    not fit its type in ``schema`` is null. Record and verdict pass an ``explode`` of one
+    element, which keeps Catalyst from parsing the text again in every filter and projection
+    above.
     """
-    parsed = F.from_json(
-        value, f"{schema}, {_BROKEN} STRING", {"columnNameOfCorruptRecord": _BROKEN})
+    wanted = StructType.fromDDL(schema)
+    parsed = F.struct(F.from_json(value, _as_text(wanted)).alias("record"),
+                      (~F.coalesce(is_one_object(value), F.lit(False))).alias("is_dirty"))
     return (
-        df.select("*", F.explode(F.array(parsed)).alias("record"))
-        .withColumn("is_dirty",
-                    F.col("record").isNull()
-                    | F.col(f"record.{_BROKEN}").isNotNull()
-                    | ~F.rtrim(F.col(value), F.lit(" \t\r\n")).endswith("}"))
-        .withColumn("record", F.col("record").dropFields(_BROKEN))
+        df.select("*", F.explode(F.array(parsed)).alias("_parsed"))
+        .select(*df.columns, F.col("_parsed.record").try_cast(wanted).alias("record"),
+                F.col("_parsed.is_dirty").alias("is_dirty"))
     )
 
 

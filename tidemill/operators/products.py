@@ -44,6 +44,23 @@ def product_display(pages: DataFrame) -> DataFrame:
                      display_ct=F.lit(1))
 
 
+def product_page(pages: DataFrame) -> DataFrame:
+    """Clicks and displays of page logs in one pass over them."""
+    def item(sku: Column, click: int) -> Column:
+        return F.struct(sku.try_cast("bigint").alias("sku"), F.lit(click).alias("click"))
+
+    click = F.when((F.col("page.page_id") == codes.PAGE_DETAIL)
+                   & (F.col("page.item_type") == codes.ITEM_SKU),
+                   F.array(item(F.col("page.item"), 1)))
+    shown = F.transform(F.filter("displays", lambda d: d["item_type"] == codes.ITEM_SKU),
+                        lambda d: item(d["item"], 0))
+    none = F.array().cast("array<struct<sku: bigint, click: int>>")
+    items = pages.select("ts", F.explode(F.concat(
+        F.coalesce(click, none), F.coalesce(shown, none))).alias("i"))
+    return _measures(items, F.col("i.sku"), F.col("ts"), click_ct=F.col("i.click"),
+                     display_ct=1 - F.col("i.click"))
+
+
 def product_favor(favors: DataFrame) -> DataFrame:
     return _measures(favors, F.col("sku_id"), text_to_millis(F.col("create_time")),
                      favor_ct=F.lit(1))
@@ -80,9 +97,9 @@ def product_comment(comments: DataFrame) -> DataFrame:
 def union_product(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame,
                   payments: DataFrame, refunds: DataFrame, comments: DataFrame) -> DataFrame:
     """All seven inputs as measure rows, duplicates kept."""
-    parts = [product_click(pages), product_display(pages), product_favor(favors),
-             product_cart(carts), product_order(orders), product_payment(payments),
-             product_refund(refunds), product_comment(comments)]
+    parts = [product_page(pages), product_favor(favors), product_cart(carts),
+             product_order(orders), product_payment(payments), product_refund(refunds),
+             product_comment(comments)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -7,7 +7,9 @@ spread over its orders, no set of ids is ever held, and the same plan is legal i
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,7 +26,7 @@ def event_time(ts: str = "ts") -> Column:
 
 
 def _timed(df: DataFrame, time: Column, delay: str | None) -> DataFrame:
-    """Event time, and on streams the watermark, assigned after any union."""
+    """Event time, and on streams the watermark."""
     df = df.withColumn("_time", time)
     return df.withWatermark("_time", delay) if delay is not None and df.isStreaming else df
 
@@ -51,10 +53,20 @@ def _milli_clock(as_of: Column | None) -> Column:
 
 def visitor_stats(rows: DataFrame, width: str = WIDTH, delay: str | None = "12 seconds") -> DataFrame:
     """Sums of the visitor measures per region, channel, visitor kind and version."""
+    return _visitor_sums(_timed(rows, event_time(), delay), width)
+
+
+def visitor_stats_of(inputs: Iterable[DataFrame], width: str = WIDTH,
+                     delay: str | None = "12 seconds") -> DataFrame:
+    """The same over several inputs, each with its own watermark before the union."""
+    timed = [_timed(rows, event_time(), delay) for rows in inputs]
+    return _visitor_sums(reduce(DataFrame.unionByName, timed), width)
+
+
+def _visitor_sums(rows: DataFrame, width: str) -> DataFrame:
     measures = ["uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum"]
     return (
-        _timed(rows, event_time(), delay)
-        .groupBy(F.window("_time", width).alias("window"), "ar", "ch", "is_new", "vc")
+        rows.groupBy(F.window("_time", width).alias("window"), "ar", "ch", "is_new", "vc")
         .agg(*[F.sum(m).alias(m) for m in measures], F.min("ts").alias("ts"))
         .select(*_bounds(), *schemas.VISITOR_STATS[2:])
     )

@@ -22,7 +22,7 @@ def first_per(df: DataFrame, keys: list[Column | str], order: list[Column | str]
 def repair_is_new(logs: DataFrame, order: list[str], device: str = "common.mid") -> DataFrame:
     """Only the first row of a device flagged new stays new; rows flagged old pass untouched.
 
-    The firsts come from narrow columns, and the join back is on the row's own identity, which
+    A row without a time comes before all others. The firsts come from narrow columns, and the join back is on the row's own identity, which
     spreads a hot device evenly. Old rows are not shuffled.
     """
     flagged = F.col("common.is_new").eqNullSafe("1")
@@ -33,11 +33,11 @@ def repair_is_new(logs: DataFrame, order: list[str], device: str = "common.mid")
         ["_device"], [f"_first_{c}" for c in identity])
     same_row = F.col(device).eqNullSafe(F.col("_device"))
     for c in identity:
-        same_row = same_row & (F.col(c) == F.col(f"_first_{c}"))
+        same_row = same_row & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
     repaired = (
-        new.join(firsts, same_row, "left")
+        new.join(firsts.withColumn("_is_first", F.lit(True)), same_row, "left")
         .withColumn("common", F.col("common").withField(
-            "is_new", F.when(F.col("_first_ts").isNotNull(), "1").otherwise("0")))
+            "is_new", F.when(F.col("_is_first"), "1").otherwise("0")))
         .select(*logs.columns)
     )
     return logs.where(~flagged).unionByName(repaired)

@@ -11,7 +11,7 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill import schemas
@@ -19,11 +19,13 @@ from tidemill.functions.records import fields_of
 from tidemill.plans import jobs
 from tidemill.sinks import tables, topics as sinks
 from tidemill.sources.changes import change_envelopes, rule_table
-from tidemill.sources.topics import Topics, read_records, read_topic, with_place
+from tidemill.sources.topics import Topics, read_records, read_topic, starting_options, with_place
 from tidemill.streaming.run import stream_settings, start_per_batch
+from tidemill.streaming.state import JUMP_SHARDS, user_jump_stream
 
 # The topics the jobs read and write.
 ODS_LOG, ODS_DB = "ods_base_log", "ods_base_db"
+CHANGES, DIRTY_DB = "database_changes", "dirty_db"
 ORDER_INFO, ORDER_DETAIL, PAYMENT = "dwd_order_info", "dwd_order_detail", "dwd_payment_info"
 CART, FAVOR = "dwd_cart_info", "dwd_favor_info"
 REFUND, COMMENT = "dwd_order_refund_info", "dwd_comment_info"
@@ -51,6 +53,7 @@ class Place:
     state: str
     once: bool = False
     jdbc: str | None = None
+    starting: dict[str, str] | None = None
 
     def checkpoint(self, job: str) -> str:
         return f"{self.state}/checkpoints/{job}"
@@ -60,10 +63,22 @@ class Place:
         return f"{self.state}/dimensions"
 
     def logs(self, topic: str, origin: str | None = None) -> DataFrame:
-        return read_records(self.spark, self.topics, topic, schemas.LOG, origin=origin)
+        return read_records(self.spark, self.topics, topic, schemas.LOG, origin=origin,
+                            starting=self.starting)
 
     def facts(self, topic: str, schema: str, origin: str | None = FROM_DB) -> DataFrame:
-        return read_records(self.spark, self.topics, topic, schema, origin=origin).drop("place")
+        return read_records(self.spark, self.topics, topic, schema, origin=origin,
+                            starting=self.starting).drop("place")
+
+    def lines(self, topic: str, origin: str | None = None) -> DataFrame:
+        return read_topic(self.spark, self.topics, topic, origin=origin, starting=self.starting)
+
+    def kept(self, job: str, name: str, value: int) -> int:
+        """A number that the job's state depends on: written at its first start, read after."""
+        folder = f"{self.state}/settings/{job}/{name}"
+        if not tables.exists(self.spark, folder):
+            self.spark.createDataFrame([(value,)], "value INT").write.json(folder)
+        return self.spark.read.schema("value INT").json(folder).first().value
 
     def looked_up(self) -> dict[str, DataFrame]:
         return {name: tables.read_dimension(self.spark, self.dimensions, name, columns)
@@ -87,27 +102,48 @@ class Place:
 
 
 def base_log(at: Place) -> StreamingQuery:
-    lines = with_place(read_topic(at.spark, at.topics, ODS_LOG))
+    lines = with_place(at.lines(ODS_LOG))
     with stream_settings(at.spark):
         return sinks.sink_lines(jobs.base_log_lines(lines, ["place"]), at.topics, FROM_LOG,
                                 at.checkpoint("base_log"), at.once)
 
 
+def cdc_ods(at: Place) -> StreamingQuery:
+    """Copies change lines, as they come from the change reader, to the topic of all changes."""
+    lines = jobs.job_cdc_ods(at.lines(CHANGES).select("value"))
+    with stream_settings(at.spark):
+        return sinks.sink_lines(lines.withColumn("topic", F.lit(ODS_DB)), at.topics, ODS_DB,
+                                at.checkpoint("cdc_ods"), at.once)
+
+
+def compact(at: Place) -> None:
+    """Merge each dimension's changes into one batch of a new folder beside them, to switch to
+    while ``base_db`` is stopped."""
+    for name, columns in DIMENSIONS.items():
+        if tables.exists(at.spark, f"{at.dimensions}/sink_table={name}"):
+            tables.compact_dimension(at.spark, at.dimensions, name, columns,
+                                     f"{at.state}/compacted/{name}")
+
+
 def base_db(at: Place) -> StreamingQuery:
     """Routes by the rules as they stand at each micro-batch, read from ``state/rules`` as
     change lines. Dimension writes are repeatable; topic lines are at-least-once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        lines = with_place(at.spark.read.text(f"{at.state}/rules"))
+        folder = f"{at.state}/rules"
+        lines = with_place(at.spark.read.text(folder) if tables.exists(at.spark, folder)
+                           else at.spark.createDataFrame([], "value STRING"))
         rules = rule_table(change_envelopes(lines)[0], ["ts_ms", "place"])
         batch.persist()
         try:
             out = jobs.job_base_db(batch, rules)
             tables.upsert_batch(out["dimensions"], at.dimensions, batch_id, "place")
             sinks.sink_topic_by_row(out["topics"], at.topics, origin=FROM_DB)
+            sinks.sink_lines(out["dirty"].withColumn("topic", F.lit(DIRTY_DB)), at.topics,
+                             DIRTY_DB)
         finally:
             batch.unpersist()
 
-    lines = with_place(read_topic(at.spark, at.topics, ODS_DB))
+    lines = with_place(at.lines(ODS_DB))
     return start_per_batch(lines, write, at.checkpoint("base_db"), at.once)
 
 
@@ -117,7 +153,8 @@ def unique_visit(at: Place) -> StreamingQuery:
 
 
 def user_jump(at: Place) -> StreamingQuery:
-    jumps = jobs.job_user_jump(at.logs(jobs.PAGE, FROM_LOG), ["place"])
+    shards = at.kept("user_jump", "shards", JUMP_SHARDS)
+    jumps = user_jump_stream(at.logs(jobs.PAGE, FROM_LOG), "place", shards=shards)
     return at.to_topic(jumps.drop("place"), USER_JUMP, "user_jump")
 
 
@@ -166,27 +203,38 @@ def province_stats(at: Place) -> StreamingQuery:
 
 
 def keyword_stats(at: Place) -> StreamingQuery:
-    lines = read_topic(at.spark, at.topics, jobs.PAGE, origin=FROM_LOG)
+    lines = at.lines(jobs.PAGE, FROM_LOG)
     return at.to_report(jobs.job_keyword_stats(lines), "keyword_stats")
 
 
 JOBS: dict[str, Callable[[Place], StreamingQuery]] = {f.__name__: f for f in (
-    base_log, base_db, unique_visit, user_jump, order_wide, payment_wide,
+    cdc_ods, base_log, base_db, unique_visit, user_jump, order_wide, payment_wide,
     visitor_stats, product_stats, province_stats, keyword_stats)}
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Run one job between topics.")
-    parser.add_argument("job", choices=JOBS)
+    parser.add_argument("job", choices=[*JOBS, compact.__name__])
     parser.add_argument("--folder", help="topics as text folders below this shared folder")
     parser.add_argument("--servers", help="topics on these Kafka servers")
     parser.add_argument("--state", required=True, help="shared folder of checkpoints and tables")
     parser.add_argument("--jdbc", help="database that takes the reports")
     parser.add_argument("--once", action="store_true", help="process what there is, then end")
+    parser.add_argument("--zone", default="Asia/Shanghai", help="zone of days and text times")
+    parser.add_argument("--start", default="earliest", help="where the first start of a Kafka job "
+                        "begins: initial, earliest, latest, or a time in epoch ms")
     args = parser.parse_args()
-    spark = SparkSession.builder.appName(args.job).getOrCreate()
-    place = Place(spark, Topics(args.folder, args.servers), args.state, args.once, args.jdbc)
-    JOBS[args.job](place).awaitTermination()
+    spark = SparkSession.builder.appName(args.job).config(
+        "spark.sql.session.timeZone", args.zone).getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", args.zone)
+    starting = (starting_options("timestamp", int(args.start)) if args.start.isdigit()
+                else starting_options(args.start))
+    place = Place(spark, Topics(args.folder, args.servers), args.state, args.once, args.jdbc,
+                  starting)
+    if args.job == compact.__name__:
+        compact(place)
+    else:
+        JOBS[args.job](place).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -26,9 +26,13 @@ def repair_is_new(logs: DataFrame, order: list[str]) -> DataFrame:
 
 
 def job_cdc_ods(changes: DataFrame) -> DataFrame:
-    """Row changes as JSON text, one line per change."""
-    return changes.select(F.to_json(F.struct("op", "source", "before", "after", "ts_ms"))
-                          .alias("value"))
+    """Row changes as JSON text, one line per change, with every column of the envelope. Lines
+    (``value``) that are envelopes already pass as they are."""
+    if changes.columns == ["value"]:
+        return changes
+    first = [c for c in ("op", "source", "before", "after", "ts_ms") if c in changes.columns]
+    rest = [c for c in changes.columns if c not in first]
+    return changes.select(F.to_json(F.struct(*first, *rest)).alias("value"))
 
 
 def job_base_log(lines: DataFrame, order: list[str],
@@ -36,7 +40,8 @@ def job_base_log(lines: DataFrame, order: list[str],
     """Raw log lines to start, page and display logs and dirty lines, as separate frames.
 
     A batch may name a ``stage`` folder in shared storage: the parsed lines are written there
-    once, and every output reads columns from it instead of parsing the text again.
+    once, the repaired ones beside it, and every output reads columns from them instead of
+    parsing and repairing again. Displays need no repair.
     """
     if stage and not lines.isStreaming:
         lg.parse_lines(lines, schemas.LOG).write.mode("overwrite").parquet(stage)
@@ -45,26 +50,45 @@ def job_base_log(lines: DataFrame, order: list[str],
     else:
         clean, dirty = lg.split_dirty(lines, schemas.LOG)
     logs = repair_is_new(clean, order)
-    pages = lg.route_page(logs)
-    return {START: lg.route_start(logs), PAGE: pages, DISPLAY: lg.explode_display(pages),
-            DIRTY: dirty}
+    if stage and not lines.isStreaming:
+        logs.write.mode("overwrite").parquet(f"{stage}-repaired")
+        logs = lines.sparkSession.read.schema(logs.schema).parquet(f"{stage}-repaired")
+    return {START: lg.route_start(logs), PAGE: lg.route_page(logs),
+            DISPLAY: lg.explode_display(lg.route_page(clean)), DIRTY: dirty}
+
+
+def _with(fields: Column, name: str, value: Column) -> Column:
+    """Fields of an object with one of them set; null stays null."""
+    return F.map_concat(F.map_filter(fields, lambda k, _: k != name),
+                        F.create_map(F.lit(name), value))
 
 
 def base_log_lines(lines: DataFrame, order: list[str]) -> DataFrame:
-    """The same outputs as ``topic, value`` lines of one pass, for a sink that routes by row."""
+    """The same outputs as ``topic, value`` lines of one pass, for a sink that routes by row.
+
+    Lines pass whole, fields that the schema does not name included; only where the flag is
+    repaired is it replaced. Displays are whole with the page's id added.
+    """
     parsed = lg.parse_lines(lines, schemas.LOG)
     kept = [c for c in lines.columns if c != "value"]
     logs = repair_is_new(parsed.select("value", "is_dirty", *kept, "record.*"), order)
-    fields = ["common", "start", "page", "displays", "ts"]
+    whole = F.try_parse_json("value")
+    fields = F.try_variant_get(whole, "$", "map<string,variant>")
+    common = F.try_variant_get(whole, "$.common", "map<string,variant>")
+    old = F.to_variant_object(_with(common, "is_new", F.parse_json(F.lit('"0"'))))
+    repaired = (F.try_variant_get(whole, "$.common.is_new", "string") == "1") \
+        & F.col("common.is_new").eqNullSafe("0")
+    log_text = F.when(repaired, F.to_json(_with(fields, "common", old))).otherwise(F.col("value"))
+    displays = F.try_variant_get(whole, "$.displays", "array<map<string,variant>>")
+    page_id = F.col("page.page_id").cast("variant")
 
     def line(topic: Column | str, value: Column) -> Column:
         topic = F.lit(topic) if isinstance(topic, str) else topic
         return F.struct(topic.alias("topic"), value.alias("value"))
 
-    log = line(F.when(lg.is_start(), START).otherwise(PAGE), F.to_json(F.struct(*fields)))
+    log = line(F.when(lg.is_start(), START).otherwise(PAGE), log_text)
     shown = F.when(~lg.is_start(), F.transform(
-        "displays",
-        lambda d: line(DISPLAY, F.to_json(d.withField("page_id", F.col("page.page_id"))))))
+        displays, lambda d: line(DISPLAY, F.to_json(_with(d, "page_id", page_id)))))
     outputs = (
         F.when(F.col("is_dirty"), F.array(line(DIRTY, F.col("value"))))
         .otherwise(F.concat(F.array(log), F.coalesce(shown, F.array().cast(
@@ -74,16 +98,19 @@ def base_log_lines(lines: DataFrame, order: list[str]) -> DataFrame:
 
 
 def job_base_db(lines: DataFrame, rules: DataFrame) -> dict[str, DataFrame]:
-    """Change lines to topic rows and dimension rows by rule; deletes and unruled rows go."""
+    """Change lines to topic rows and dimension rows by rule; deletes and unruled rows go. Lines
+    that do not parse, and dimension rows without a key (as JSON), are dirty."""
     changes, dirty = change_envelopes(lines)
     routed = ch.route_by_rule(ch.drop_deletes(changes), rules)
+    keyless = ch.without_key(routed)
     return {"topics": ch.to_topics(routed), "dimensions": ch.to_dimensions(routed),
-            "dirty": dirty}
+            "dirty": dirty.select("value").unionByName(
+                keyless.select(F.to_json(F.struct(*keyless.columns)).alias("value")))}
 
 
 def job_unique_visit(pages: DataFrame, order: list[str]) -> DataFrame:
     if pages.isStreaming:
-        return state.unique_visit_stream(pages)
+        return state.unique_visit_stream(pages, order[-1])
     return visits.unique_visit(pages, order)
 
 
@@ -111,7 +138,10 @@ def job_payment_wide(payments: DataFrame, wide: DataFrame,
 
 def job_visitor_stats(unique_visits: DataFrame, jumps: DataFrame, pages: DataFrame,
                       width: str = stats.WIDTH) -> DataFrame:
-    return stats.visitor_stats(lg.union_visitor(unique_visits, jumps, pages), width)
+    """Each stream has a watermark of its own; windows close by the slowest, so a bounce that is
+    published late still finds its window open."""
+    rows = (lg.visitor_uv(unique_visits), lg.visitor_uj(jumps), lg.visitor_pv(pages))
+    return stats.visitor_stats_of(rows, width)
 
 
 def job_product_stats(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame,

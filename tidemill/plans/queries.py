@@ -783,7 +783,7 @@ def dim_join(spark, sf):
         F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), "l_suppkey")
     return joins.dim_join(lines, suppliers, "l_suppkey", {
         "supplier_name": "s_name", "nation_id": F.col("s_nationkey").cast("bigint")},
-        dim_key="s_suppkey", max_broadcast_rows=0, salts=4).drop("l_suppkey")
+        dim_key="s_suppkey", max_broadcast_bytes=0, salts=4).drop("l_suppkey")
 
 
 @query("route_by_rule", f"""
@@ -989,11 +989,11 @@ def stream_repair_is_new(spark, sf):
 
 
 @query("stream_unique_visit", f"""WITH {LG}, pages AS (SELECT * FROM lg WHERE event_type <> 'signup')
-    SELECT mid, strftime(t, '%Y-%m-%d') AS day FROM ({_visits_sql('pages')})""")
+    SELECT event_id, mid, strftime(t, '%Y-%m-%d') AS day FROM ({_visits_sql('pages')})""")
 def stream_unique_visit(spark, sf):
-    visit = state.unique_visit_stream(_page_stream(spark, sf))
+    visit = state.unique_visit_stream(_page_stream(spark, sf), "event_id")
     return run.drain(visit.select(
-        F.col("common.mid").alias("mid"),
+        "event_id", F.col("common.mid").alias("mid"),
         times.day_text(F.timestamp_millis("ts")).alias("day")), "visit")
 
 
@@ -1073,7 +1073,8 @@ HALF = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
 def _halves(spark: SparkSession, sf: str, late_first: bool):
-    """The whole events table as two files of a stream folder, written one after the other."""
+    """The whole events table as two halves of a stream folder, written one after the other; each
+    is one micro-batch, of as many files as it has parts."""
     events = _events(spark, sf)
     folder = work_folder(spark, "halves")
     late = F.col("ts") >= F.expr(HALF)
@@ -1082,11 +1083,10 @@ def _halves(spark: SparkSession, sf: str, late_first: bool):
         parts.reverse()
 
     def write(i: int) -> None:
-        parts[i].coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        parts[i].write.mode("append").parquet(f"{folder}/in")
 
     def stream() -> DataFrame:
-        return (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
-                .parquet(f"{folder}/in"))
+        return spark.readStream.schema(events.schema).parquet(f"{folder}/in")
 
     return folder, write, stream
 
@@ -1167,7 +1167,7 @@ def stream_product_stats(spark, sf):
            || event_id || '"}},' ELSE '' END
         || '"ts_ms":' || ts_ms || '}}' AS value FROM chg""")
 def job_cdc_ods(spark, sf):
-    return jobs.job_cdc_ods(t.changes(_events(spark, sf)))
+    return jobs.job_cdc_ods(t.changes(_events(spark, sf)).drop("event_id"))
 
 
 def _job_lines(spark, sf):

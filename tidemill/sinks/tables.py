@@ -18,14 +18,14 @@ def _replace_partitions(rows: DataFrame, folder: str, by: list[str]) -> None:
 
 
 def upsert_batch(routed: DataFrame, folder: str, batch_id: int, place: str | None = None) -> None:
-    """Write one batch of dimension changes below ``folder/sink_table=…/batch_id=…``.
+    """Write one batch of routed dimension changes below ``folder/sink_table=…/batch_id=…``.
 
     Rewriting the same batch replaces its own partitions only, so a repeated batch changes
     nothing. The cost of a batch depends on its changes, not on the size of the dimension.
     ``place`` names a BIGINT column that orders changes of one batch with equal ``ts_ms``.
     """
     rows = routed.select(
-        F.element_at("after", F.col("sink_pk")).alias("pk"), "after", "ts_ms",
+        "pk", "after", "ts_ms",
         (F.col(place) if place else F.lit(0)).cast("bigint").alias("place"),
         "sink_table", F.lit(batch_id).alias("batch_id"))
     _replace_partitions(rows, folder, ["sink_table", "batch_id"])
@@ -38,15 +38,22 @@ def sink_dim_upsert(folder: str, place: str | None = None) -> Callable[[DataFram
 
 def read_dimension(spark: SparkSession, folder: str, table: str, columns: list[str]) -> DataFrame:
     """The dimension as text columns: per key and column, the value of the last change that
-    carried the column (nulls included). One grouped pass, combined before its shuffle."""
-    changes = (
-        spark.read.schema("pk STRING, after MAP<STRING, STRING>, ts_ms BIGINT, place BIGINT, "
-                          "sink_table STRING, batch_id BIGINT")
-        .parquet(folder).where(F.col("sink_table") == table)
-    )
+    carried the column (nulls included). One grouped pass, combined before its shuffle. A table
+    that was never written is empty."""
+    schema = ("pk STRING, after MAP<STRING, STRING>, ts_ms BIGINT, place BIGINT, "
+              "sink_table STRING, batch_id BIGINT")
+    if not exists(spark, folder):
+        return merge_changes(spark.createDataFrame([], schema), columns,
+                             ["ts_ms", "batch_id", "place"])
+    changes = spark.read.schema(schema).parquet(folder).where(F.col("sink_table") == table)
     return merge_changes(changes, columns, ["ts_ms", "batch_id", "place"])
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def merge_changes(changes: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
     """Per ``pk``, each column's value in the last change that has it."""
     def last(column: str):

@@ -53,8 +53,8 @@ def _write(rows: DataFrame, topics: Topics, topic: str, by: str | None,
     return writer.start()
 
 
-def sink_console(df: DataFrame, rows: int = 20) -> StreamingQuery | None:
-    """Debug print of a stream, or of the first rows of a batch."""
+def sink_console(df: DataFrame, rows: int) -> StreamingQuery | None:
+    """Debug print of the first ``rows`` rows of a batch, or of each micro-batch."""
     if df.isStreaming:
         return (df.writeStream.format("console").option("numRows", str(rows))
                 .option("truncate", "false").start())

@@ -39,7 +39,7 @@ class _FirstOfDevice(StatefulProcessor):
         for part in rows:
             if best is not None:
                 part = pd.concat([best, part], ignore_index=True)
-            at = np.lexsort((part["place"].to_numpy(), part["ts"].to_numpy()))
+            at = _nulls_first(part)
             best = part.iloc[at[:1]]
             if len(part) > 1:
                 yield pd.DataFrame({"body": part["body"].iloc[at[1:]], "is_first": False})
@@ -55,20 +55,27 @@ class _FirstOfDevice(StatefulProcessor):
 def _earliest_of_batch(device: pd.Series, ts: pd.Series, place: pd.Series) -> pd.Series:
     """Whether a row is the earliest of its device within its Arrow batch."""
     rows = pd.DataFrame({"device": device, "ts": ts, "place": place})
-    ordered = rows.sort_values(["ts", "place"], kind="stable")
+    ordered = rows.iloc[_nulls_first(rows)]
     return (~ordered.duplicated("device")).reindex(rows.index)
 
 
+def _nulls_first(rows: pd.DataFrame) -> np.ndarray:
+    """The order by (ts, place), nulls first as in a batch."""
+    return np.lexsort([key for name in ("place", "ts") for key in (
+        rows[name].fillna(0).to_numpy(), rows[name].notna().to_numpy())])
+
+
 def repair_is_new_stream(logs: DataFrame, order: str, device: str = "common.mid",
-                         ttl_ms: int | None = None, parts: int = 32) -> DataFrame:
+                         ttl_ms: int | None = None, parts: int | None = None) -> DataFrame:
     """Stream form of ``repair_is_new``: the first row flagged new that reaches a device stays.
 
     Within a micro-batch the earliest by (``ts``, ``order``) counts as first. Rows flagged old
     bypass the state. Before the shuffle each Arrow batch picks its earliest row per device;
     only those meet in the device's state, the others pass in ``parts`` groups without a
-    device, so a hot device does not gather in one task. ``order`` is a BIGINT column such as
-    the source offset.
+    device or state (four per state partition, whatever it was before a restart), so a hot
+    device does not gather in one task. ``order`` is a BIGINT column such as the source offset.
     """
+    parts = parts or 4 * state_partitions(logs.sparkSession)
     flagged = F.col("common.is_new").eqNullSafe("1")
     packed = (
         logs.where(flagged)
@@ -91,6 +98,9 @@ def repair_is_new_stream(logs: DataFrame, order: str, device: str = "common.mid"
     return logs.where(~flagged).unionByName(repaired)
 
 
+#: Shards of devices in the state of ``user_jump_stream``.
+JUMP_SHARDS = 64
+
 _ROW_TYPE = StructType([
     StructField("device", StringType()), StructField("ts", LongType()),
     StructField("place", LongType()), StructField("entry", BooleanType()),
@@ -151,17 +161,15 @@ class _JumpsOfShard(StatefulProcessor):
 
 def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
                      delay: str = "2 seconds", device: str = "common.mid",
-                     bucket_gaps: int = 30, shards: int | None = None) -> DataFrame:
+                     bucket_gaps: int = 30, shards: int = JUMP_SHARDS) -> DataFrame:
     """Stream form of ``user_jump``. A row is emitted after the watermark passes its gap; rows
     later than the watermark are dropped.
 
     State is kept per shard of devices and time bucket: shards make few calls for many quiet
     devices, buckets (as in the batch form) make several keys of a busy one; fewer
-    ``bucket_gaps`` spread it further. ``shards`` (by default four per state partition) must
-    stay the same for one checkpoint.
+    ``bucket_gaps`` spread it further. ``shards`` is part of the state's keys: it depends on no
+    setting of the session and must stay the same for one checkpoint.
     """
-    if shards is None:
-        shards = 4 * state_partitions(pages.sparkSession)
     name = F.coalesce(F.concat(F.lit("="), F.col(device)), F.lit(""))
     body = F.when(is_session_entry(), F.to_json(F.struct(*pages.columns)))
     packed = pages.select(
@@ -178,23 +186,51 @@ def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
     return jumps.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
 
 
-def unique_visit_stream(pages: DataFrame, device: str = "common.mid",
-                        delay: str = "1 day", salts: int = 8) -> DataFrame:
-    """Stream form of ``unique_visit``: one session-entry row per device and day.
+class _FirstOfDay(StatefulProcessor):
+    """Passes the earliest row of the first micro-batch that has rows of a device and day. The
+    state, one boolean, goes when the watermark passes the day."""
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._seen = handle.getValueState("seen", _FLAG_TYPE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = list(rows)
+        if not parts or self._seen.exists():
+            return
+        part = pd.concat(parts, ignore_index=True)
+        self._seen.update((True,))
+        self._handle.registerTimer(max(int(key[1]) + 86_400_000,
+                                       timerValues.getCurrentWatermarkInMs() + 1))
+        yield part.iloc[_nulls_first(part)[:1]][["body"]]
 
-    The day is the event time, so a day's devices leave the state once the watermark passes
-    it. A first step drops repeats within ``salts`` parts of a device, so that a hot device
-    reaches the final step as a few rows; ``salts=1`` skips it.
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def unique_visit_stream(pages: DataFrame, order: str, device: str = "common.mid",
+                        delay: str = "1 day") -> DataFrame:
+    """Stream form of ``unique_visit``: the first session-entry row per device and day.
+
+    Within a micro-batch the earliest by (``ts``, ``order``) is first. Before the shuffle each
+    Arrow batch keeps only its earliest row per device and day, so a hot device reaches its state
+    as a few rows. A day's devices leave the state once the watermark, ``delay`` behind, passes
+    its end.
     """
-    day = F.date_trunc("day", F.timestamp_millis(F.col("ts")))
-    entries = (
+    day = F.unix_millis(F.date_trunc("day", F.timestamp_millis(F.col("ts"))))
+    device_name = F.coalesce(F.concat(F.lit("="), F.col(device)), F.lit(""))
+    packed = (
         pages.where(is_session_entry())
-        .withColumn("_day", day).withColumn("_device", F.col(device))
-        .withWatermark("_day", delay)
+        .select(F.timestamp_millis(F.col("ts")).alias("time"), device_name.alias("device"),
+                day.alias("day"), "ts", F.col(order).alias("place"),
+                F.to_json(F.struct(*pages.columns)).alias("body"))
+        .where(_earliest_of_batch(F.concat_ws(" ", "day", "device"), "ts", "place"))
+        .withWatermark("time", delay)
     )
-    if salts > 1:
-        entries = (
-            entries.withColumn("_salt", F.pmod(F.xxhash64(F.col("ts")), F.lit(salts)))
-            .dropDuplicates(["_device", "_day", "_salt"])
-        )
-    return entries.dropDuplicates(["_device", "_day"]).select(*pages.columns)
+    firsts = packed.groupBy("device", "day").transformWithStateInPandas(
+        _FirstOfDay(), "body STRING", outputMode="Append", timeMode="EventTime")
+    return firsts.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
