@@ -8,16 +8,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemill.session import work_folder
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder: no lineage to lose with an executor."""
     return stored(df, purpose)[0]
 
 
 def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """Like ``written``, with the folder, so that a loop can remove what it has replaced."""
+    """Like ``written``, with the folder, so that a loop can remove what it has replaced.
+
+    What was shuffled on the way is not needed once the table stands, and is removed with the
+    end of the job instead of whenever the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     folder = work_folder(spark, purpose)
-    df.write.parquet(folder)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder), folder
 
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemill.llm.store import written
 from tidemill.llm.words import WordHashes, batches, binaries, window_hashes
 
 #: Positions p with p mod 7 in the cover are hashed. Any two positions have a shift under 7
@@ -130,7 +131,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     named = known_ids.select("doc_id", F.md5("text").alias("name"))
     firsts = named.groupBy("name").agg(F.min("doc_id").alias("first"))
-    copies = (named.join(firsts, "name").where("doc_id > first").select("doc_id", "name").distinct())
+    copies = written(named.join(firsts, "name").where("doc_id > first")
+                     .select("doc_id", "name").distinct(), "passages-copies")
 
     def emitted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = WordHashes(), sent.value
@@ -157,8 +159,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     shared = (dealt.withColumn("low", F.min("doc_id").over(holders))
               .withColumn("high", F.max("doc_id").over(holders)).where("low < high")
               .select("doc_id", "place"))
-    marks = (shared.unionByName(copies.select("doc_id", F.lit(-1).alias("place")))
-             .groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+    marks = written(shared.unionByName(copies.select("doc_id", F.lit(-1).alias("place")))
+                    .groupBy("doc_id").agg(F.collect_list("place").alias("places")),
+                    "passages-marks")
 
     def extended(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = WordHashes(), sent.value
@@ -196,9 +199,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     repeats = (windows.withColumn("low", F.min("doc_id").over(holders)).where("low < doc_id")
                .select("doc_id", "tag", "place"))
     copied = copies.select("doc_id", F.lit(0).alias("tag"), F.lit(-1).alias("place"), "name")
-    removed = (repeats.withColumn("name", F.lit(None).cast("string")).unionByName(copied)
-               .groupBy("doc_id").agg(F.collect_list(F.struct("tag", "place")).alias("places"),
-                                      F.collect_set("name").alias("copies")))
+    removed = written(repeats.withColumn("name", F.lit(None).cast("string")).unionByName(copied)
+                      .groupBy("doc_id").agg(
+                          F.collect_list(F.struct("tag", "place")).alias("places"),
+                          F.collect_set("name").alias("copies")), "passages-removed")
 
     def kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = WordHashes(), sent.value
