@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemill import schemas
 from tidemill.functions import times, words
@@ -205,6 +206,36 @@ def src_cdc_envelope(spark, sf):
                        F.coalesce(image["user_id"], image["c_custkey"]).alias("id"), "ts_ms")
 
 
+def _read_changes(spark, sf, mode: str, **options) -> DataFrame:
+    parsed, _ = src_changes.change_envelopes(t.change_lines(_events(spark, sf)))
+    return src_changes.start_at(parsed, mode, **options).select("event_id", "op", "ts_ms")
+
+
+@query("src_cdc_earliest", f"WITH {CHANGES} SELECT event_id, op, ts_ms FROM chg")
+def src_cdc_earliest(spark, sf):
+    return _read_changes(spark, sf, "earliest")
+
+
+START_MS = 1_705_363_200_000
+
+
+@query("src_cdc_timestamp", f"""
+    WITH {CHANGES} SELECT event_id, op, ts_ms FROM chg WHERE ts_ms >= {START_MS}""")
+def src_cdc_timestamp(spark, sf):
+    return _read_changes(spark, sf, "timestamp", timestamp_ms=START_MS)
+
+
+@query("src_cdc_offset", f"WITH {CHANGES} SELECT event_id, op, ts_ms FROM chg WHERE event_id >= 500")
+def src_cdc_offset(spark, sf):
+    return _read_changes(spark, sf, "offset", place="event_id", offset=500)
+
+
+@query("src_cdc_latest", f"WITH {CHANGES} SELECT event_id, op, ts_ms FROM chg WHERE event_id > 500")
+def src_cdc_latest(spark, sf):
+    """A reader that starts when change 500 was the last one sees what comes after it."""
+    return _read_changes(spark, sf, "latest", place="event_id", offset=500)
+
+
 @query("src_cdc_flat", f"""
     WITH {CHANGES}
     SELECT 'shop' AS database, event_type AS "tableName",
@@ -998,12 +1029,12 @@ def stream_unique_visit(spark, sf):
 
 
 @query("stream_user_jump", f"""WITH {LG}, pages AS (SELECT * FROM lg WHERE event_type <> 'signup')
-    SELECT event_id, mid, ts FROM ({_jumps_sql('pages', HOUR_MS)})
-    WHERE ts + {HOUR_MS} <= (SELECT max(ts) FROM pages) - 2000""")
+    SELECT event_id, mid, ts FROM ({_jumps_sql('pages', HOUR_MS)})""")
 def stream_user_jump(spark, sf):
-    """Only rows whose gap the watermark has passed are decided."""
-    jumps = state.user_jump_stream(_page_stream(spark, sf), "event_id", HOUR_MS)
-    return run.drain(_row_id(jumps), "jump")
+    return _in_rounds(
+        spark, {"pages": _pages(spark, sf)},
+        {"common": F.col("common").withField("mid", F.lit("sentinel"))},
+        lambda pages: _row_id(state.user_jump_stream(pages, "event_id", HOUR_MS)), "jump")
 
 
 def _closed(width_ms: int, delay_us: int, source: str = "events", where: str = "true") -> str:
@@ -1129,33 +1160,51 @@ def side_output(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-def _closed_groups(select: str, group: str, rows: str, width_ms: int, delay_ms: int) -> str:
-    return f"""{select} FROM {rows} GROUP BY {group}
-    HAVING (any_value(ts) // {width_ms} + 1) * {width_ms} <= (SELECT max(ts) FROM {rows}) - {delay_ms}"""
+def _in_rounds(spark: SparkSession, inputs: dict[str, DataFrame], sentinel: dict[str, Column],
+               build: Callable[..., DataFrame], purpose: str, rounds: int = 3) -> DataFrame:
+    """Feed inputs to a stream in rounds of time, stopping it after each and starting it again.
+
+    A last round has one late row per input, with the ``sentinel`` columns, which closes the
+    windows of all rows before and whose own windows stay open.
+    """
+    folder = work_folder(spark, purpose)
+    ends = reduce(DataFrame.unionByName, [df.select("ts") for df in inputs.values()]).agg(
+        F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    step = (ends.high - ends.low) // rounds + 1
+    for i in range(rounds + 1):
+        low = ends.low + i * step
+        for name, df in inputs.items():
+            part = (df.where((F.col("ts") >= low) & (F.col("ts") < low + step)) if i < rounds else
+                    df.limit(1).withColumn("ts", F.lit(ends.high + 100 * DAY_MS))
+                    .withColumns(sentinel))
+            part.write.mode("append").parquet(f"{folder}/{name}")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{name}")
+                   for name, df in inputs.items()]
+        run.start_to_files(build(*streams), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
 
 
-@query("stream_visitor_stats", f"WITH {LG}, rows AS ({PV} FROM lg WHERE event_type <> 'signup') "
-       + _closed_groups(f"SELECT {_bound_sql('rows.ts', HOUR_MS)}, vc, ch, ar, is_new, {VISITOR_SUMS}, min(rows.ts) AS ts",
-                        f"rows.ts // {HOUR_MS}, vc, ch, ar, is_new", "rows", HOUR_MS, 12_000)
-       .replace("any_value(ts)", "any_value(rows.ts)").replace("max(ts)", "max(rows.ts)"))
+@query("stream_visitor_stats", f"""
+    WITH {VISITOR_UNION}
+    SELECT {_bound_sql('ts', HOUR_MS)}, vc, ch, ar, is_new, {VISITOR_SUMS}, min(ts) AS ts
+    FROM rows GROUP BY ts // {HOUR_MS}, vc, ch, ar, is_new""")
 def stream_visitor_stats(spark, sf):
-    return run.drain(stats.visitor_stats(lg.visitor_pv(_page_stream(spark, sf)), "1 hour"), "visitors")
+    """The visitor job over its three inputs, each with its own watermark."""
+    names = ("visits", "jumps", "pages")
+    return _in_rounds(
+        spark, dict(zip(names, _visitor_sources(spark, sf))),
+        {"common": F.col("common").withField("vc", F.lit("sentinel"))},
+        lambda *streams: jobs.job_visitor_stats(*streams, width="1 hour"), "visitors")
 
 
-@query("stream_product_stats", f"WITH rows AS ({ORDER_SQL} UNION ALL {REFUND_SQL}) "
-       + _closed_groups(f"SELECT {_bound_sql('rows.ts', MONTH_MS)}, sku_id, {PRODUCT_SUMS}, min(rows.ts) AS ts",
-                        f"rows.ts // {MONTH_MS}, sku_id", "rows", MONTH_MS, 2_000)
-       .replace("any_value(ts)", "any_value(rows.ts)").replace("max(ts)", "max(rows.ts)"))
+@query("stream_product_stats", f"WITH {PRODUCT_UNION} {PRODUCT_GROUP}")
 def stream_product_stats(spark, sf):
-    """Distinct orders in a stream: two grouped steps, no sets in the state."""
-    lines = t.table_stream(spark, sf, "lineitem")
-    refunds = lines.where("l_returnflag = 'R'").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-        F.col("l_extendedprice").cast("decimal(16,2)").alias("refund_amount"),
-        times.second_text(F.col("l_shipdate")).alias("create_time"))
-    rows = products.product_order(t.line_order_wide(lines)).unionByName(
-        products.product_refund(refunds))
-    return run.drain(stats.product_stats(rows, "30 days"), "products")
+    """Distinct orders in a stream over the rows of all branches: two grouped steps, no sets in
+    the state."""
+    return _in_rounds(
+        spark, {"rows": products.union_product(*_product_sources(spark, sf))},
+        {"sku_id": F.lit(-1).cast("bigint")},
+        lambda rows: stats.product_stats(rows, "30 days"), "products")
 
 
 # --- Jobs ------------------------------------------------------------------------------------

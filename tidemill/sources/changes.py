@@ -15,15 +15,21 @@ def change_envelopes(lines: DataFrame, value: str = "value") -> tuple[DataFrame,
 
 
 def start_at(changes: DataFrame, mode: str, snapshot: DataFrame | None = None,
-             timestamp_ms: int | None = None) -> DataFrame:
+             timestamp_ms: int | None = None, place: str | None = None,
+             offset: int | None = None) -> DataFrame:
     """What a reader of stored changes sees: ``initial`` is the snapshot and then every change,
-    ``earliest`` every change, ``timestamp`` the changes from that time on."""
+    ``earliest`` every change, ``timestamp`` the changes from that time on, ``offset`` those
+    from a ``place`` on, ``latest`` those after the place that was the last at the start."""
     if mode == "initial":
         return snapshot.unionByName(changes) if snapshot is not None else changes
     if mode == "earliest":
         return changes
     if mode == "timestamp" and timestamp_ms is not None:
         return changes.where(F.col("ts_ms") >= timestamp_ms)
+    if mode == "offset" and place and offset is not None:
+        return changes.where(F.col(place) >= offset)
+    if mode == "latest" and place and offset is not None:
+        return changes.where(F.col(place) > offset)
     raise ValueError(f"unknown or incomplete start mode: {mode}")
 
 
