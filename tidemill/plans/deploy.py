@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill import schemas
 from tidemill.functions.records import fields_of
+from tidemill.operators.logs import parse_lines
 from tidemill.plans import jobs
 from tidemill.sinks import tables, topics as sinks
 from tidemill.sources.changes import change_envelopes, rule_table
@@ -133,15 +134,15 @@ def base_db(at: Place) -> StreamingQuery:
         lines = with_place(at.spark.read.text(folder) if tables.exists(at.spark, folder)
                            else at.spark.createDataFrame([], "value STRING"))
         rules = rule_table(change_envelopes(lines)[0], ["ts_ms", "place"])
-        batch.persist()
+        parsed = parse_lines(batch, schemas.CHANGE).persist()
         try:
-            out = jobs.job_base_db(batch, rules)
+            out = jobs.base_db_outputs(parsed, batch.columns, rules)
             tables.upsert_batch(out["dimensions"], at.dimensions, batch_id, "place")
             sinks.sink_topic_by_row(out["topics"], at.topics, origin=FROM_DB)
             sinks.sink_lines(out["dirty"].withColumn("topic", F.lit(DIRTY_DB)), at.topics,
                              DIRTY_DB)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     lines = with_place(at.lines(ODS_DB))
     return start_per_batch(lines, write, at.checkpoint("base_db"), at.once)

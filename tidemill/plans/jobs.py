@@ -12,7 +12,6 @@ from tidemill.operators import logs as lg
 from tidemill.operators import orders as od
 from tidemill.operators import products, stats, visits
 from tidemill.operators.joins import dim_join
-from tidemill.sources.changes import change_envelopes
 from tidemill.sources.topics import json_table, millis_row_time
 from tidemill.streaming import state
 
@@ -100,7 +99,12 @@ def base_log_lines(lines: DataFrame, order: list[str]) -> DataFrame:
 def job_base_db(lines: DataFrame, rules: DataFrame) -> dict[str, DataFrame]:
     """Change lines to topic rows and dimension rows by rule; deletes and unruled rows go. Lines
     that do not parse, and dimension rows without a key (as JSON), are dirty."""
-    changes, dirty = change_envelopes(lines)
+    return base_db_outputs(lg.parse_lines(lines, schemas.CHANGE), lines.columns, rules)
+
+
+def base_db_outputs(parsed: DataFrame, columns: list[str], rules: DataFrame) -> dict[str, DataFrame]:
+    """The same for change lines (of ``columns``) that are parsed already."""
+    changes, dirty = lg.divide(parsed, columns)
     routed = ch.route_by_rule(ch.drop_deletes(changes), rules)
     keyless = ch.without_key(routed)
     return {"topics": ch.to_topics(routed), "dimensions": ch.to_dimensions(routed),

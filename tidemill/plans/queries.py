@@ -920,15 +920,18 @@ PROVINCE_SQL = f"""
 
 
 def _province_rows(spark, sf):
-    """Order lines with the province of the customer, at the order's time."""
+    """Orders with the sum of their lines and the province of the customer, at the order's time."""
     lines, orders = t.table(spark, sf, "lineitem"), t.table(spark, sf, "orders")
     customer = t.table(spark, sf, "customer")
+    # one row per order before the joins: a hot customer then has its orders, not their lines
+    sums = lines.groupBy("l_orderkey").agg(F.sum(
+        F.col("l_extendedprice").cast("decimal(16,2)")).cast("decimal(16,2)").alias("l_amount"))
     rows = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        sums.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .select(F.col("c_nationkey").cast("bigint").alias("province_id"),
                 F.col("o_orderkey").alias("order_id"),
-                F.col("l_extendedprice").cast("decimal(16,2)").alias("split_total_amount"),
+                F.col("l_amount").alias("split_total_amount"),
                 times.second_text(F.col("o_orderdate")).alias("create_time"))
     )
     return joins.dim_join(rows, t.dimensions(spark, sf)["dim_base_province"], "province_id", {
@@ -1034,7 +1037,7 @@ def stream_user_jump(spark, sf):
     return _in_rounds(
         spark, {"pages": _pages(spark, sf)},
         {"common": F.col("common").withField("mid", F.lit("sentinel"))},
-        lambda pages: _row_id(state.user_jump_stream(pages, "event_id", HOUR_MS)), "jump")
+        lambda pages: _row_id(state.user_jump_stream(pages, "event_id", HOUR_MS, shards=8)), "jump", 1)
 
 
 def _closed(width_ms: int, delay_us: int, source: str = "events", where: str = "true") -> str:
@@ -1204,7 +1207,7 @@ def stream_product_stats(spark, sf):
     return _in_rounds(
         spark, {"rows": products.union_product(*_product_sources(spark, sf))},
         {"sku_id": F.lit(-1).cast("bigint")},
-        lambda rows: stats.product_stats(rows, "30 days"), "products")
+        lambda rows: stats.product_stats(rows, "30 days"), "products", 1)
 
 
 # --- Jobs ------------------------------------------------------------------------------------
