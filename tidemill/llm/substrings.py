@@ -23,6 +23,8 @@ ANCHOR = WINDOW - PERIOD + 1
 #: What occurs in this share of a sample of the documents is hot; at most the documents' mean
 #: length divided by the share is.
 SAMPLE, HOT_SHARE, HOT_LEAST = 64, 0.002, 8
+#: Bits of the filter of exact copies: 2 MB whatever their number.
+FILTER_BITS = 24
 _ANCHOR_BITS = np.uint64((1 << 48) - 1)
 _A, _B, _C = 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x9E6C63D0876A9A47
 
@@ -149,10 +151,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 [pa.array(np.concatenate(x or [np.empty(0, t)]).astype(t)) for x, t in (
                     (hashes, np.int64), (ids, np.int64), (places, np.int32))],
                 ["hash", "doc_id", "place"])
-    # A copy is told from other texts of its id by its name.
-    single = known_ids.withColumn("name", F.md5("text")).join(
-        copies.withColumnRenamed("doc_id", "copy_id").withColumnRenamed("name", "copy"),
-        (F.col("doc_id") == F.col("copy_id")) & (F.col("name") == F.col("copy")), "left_anti")
+    single = _without_copies(known_ids, copies)
     dealt = single.select("doc_id", "text").mapInArrow(
         emitted, "hash long, doc_id long, place int")
     holders = Window.partitionBy("hash")
@@ -228,6 +227,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
+def _without_copies(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Documents that are not in ``copies`` (doc_id, name); a copy is told from other texts of
+    its id by its name.
+
+    Most are told by a filter of 2^24 bits, at most 2^18 rows of 64, without a shuffle; only
+    the texts that may be copies are shuffled to be compared with them.
+    """
+    place = F.xxhash64("doc_id", "name").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(place & 63L as int))")
+    words = (copies.withColumn("place", place)
+             .select(F.shiftright("place", 6).alias("word"), bit.alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    tested = (docs.withColumn("name", F.md5("text")).withColumn("place", place)
+              .withColumn("word", F.shiftright("place", 6))
+              .join(F.broadcast(words), "word", "left")
+              .withColumn("hit", F.coalesce("bits", F.lit(0).cast("long")).bitwiseAND(bit) != 0))
+    named = copies.select(F.col("doc_id").alias("copy_id"), F.col("name").alias("copy"))
+    kept = tested.where("hit").select("doc_id", "text", "name").join(
+        named, (F.col("doc_id") == F.col("copy_id")) & (F.col("name") == F.col("copy")),
+        "left_anti").select("doc_id", "text")
+    return tested.where("NOT hit").select("doc_id", "text").unionByName(kept)
+
+
 def _removed(words: list[bytes], doc: int | None, text: bytes | None, places: pa.Scalar,
              copied: list[str] | None, known: WordHashes, hot: Hot) -> np.ndarray:
     """Which words of a text go."""
