@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from samples import awkward, frame, table, union_find
+from text_samples import awkward, frame, table, union_find
 from tidemill.llm import minhash, subspaces
 from tidemill.llm.components import components
 from tidemill.llm.queries import QUERIES

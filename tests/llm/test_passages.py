@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from samples import awkward, frame, table
+from text_samples import awkward, frame, table
 from tidemill.llm import decontaminate, substrings
 
 FOLDER = "/root/testdata/sf0.001"

@@ -14,7 +14,7 @@ import pytest
 
 import corpus_pipeline
 from compare import database, difference, spark_rows, sql_rows
-from samples import awkward, frame, table
+from text_samples import awkward, frame, table
 from tidemill.llm import mixing, quality, secrets, suffixtree, toxicity, urls
 from tidemill.llm.queries import ORACLE, QUERIES
 
