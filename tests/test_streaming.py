@@ -191,11 +191,11 @@ def test_log_jobs_end_to_end(spark, folder):
     repaired = visits.repair_is_new(pages(spark, rows), ["place"])
     want = jobs.job_visitor_stats(visits.unique_visit(repaired, ["place"]),
                                   visits.user_jump(repaired, ["place"]), repaired)
-    want = want.where(F.col("edt") < "2024-01-01").agg(
-        *[F.sum(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")]).first()
-    got = spark.read.parquet(f"{folder}/state/reports/visitor_stats").where(F.col("edt") < "2024-01-01").agg(
-        *[F.sum(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")]).first()
-    assert tuple(got) == tuple(want)
+    sums = [F.sum(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")]
+    got = spark.read.parquet(f"{folder}/state/reports/visitor_stats")
+    last = got.agg(F.max("edt")).first()[0]  # bounces are the slowest input: windows close by them
+    assert got.where("uj_ct > 0").count() > 5
+    assert tuple(got.agg(*sums).first()) == tuple(want.where(F.col("edt") <= last).agg(*sums).first())
 
 
 @pytest.mark.parametrize("order", [("visitor_stats", "user_jump"), ("user_jump", "visitor_stats")])
