@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 
 import pytest
@@ -94,6 +95,39 @@ def test_contaminated(spark):
     assert {r.doc_id for r in left.collect()} == {d for d, _ in rows} - {d for d, _ in overlaps(rows, items)}
 
 
+def test_masks_fit_into_every_agreement():
+    for width in range(1, 14):
+        agree = -(-3 * width // 4)
+        masks = decontaminate._masks(width, 13, 0.75)
+        places = [{shift + i for i, kept in enumerate(mask) if kept == "1"} for mask in masks
+                  for shift in range(width - len(mask) + 1)]
+        for same in itertools.combinations(range(width), agree):
+            assert any(place <= set(same) for place in places), (width, same)
+
+
+def test_contaminated_by_substituted_passages(spark):
+    pick = random.Random(5)
+    words = [f"w{i}" for i in range(2000)]
+    items = [(n, " ".join(pick.choices(words, k=n))) for n in (*range(4, 14), 26, 60)]
+    rows = []
+    for n, text in items:
+        for k in range(8):
+            changed = text.split()
+            if k < 4:
+                changed[k::4] = ["other"] * len(changed[k::4])
+            else:
+                for start in range(0, n, 13):
+                    size = min(13, n - start)
+                    for i in pick.sample(range(size), size // 4):
+                        changed[start + i] = "other"
+            clean = " ".join(pick.choices(words, k=40))
+            rows.append((10 * n + k, f"{clean} {' '.join(changed)} {clean}"))
+    want = overlaps(rows, items)
+    assert len(want) > 80
+    got = decontaminate.contaminated(frame(spark, rows), benchmark(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+
+
 def test_contaminated_tables(spark):
     rows = table(FOLDER, "documents", "doc_id, text")
     items = table(FOLDER, "benchmark", "item_id, text")

@@ -3,22 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.llm.store import bit_filter, in_filter, written
 from tidemill.llm.words import WordHashes, batches, binaries, lowered, mixed
 
-#: Word positions that must agree (1) or may differ (0).
-MASKS = ("110110101101", "101101110011", "111001011011")
-SPAN = len(MASKS[0])
+#: Masks of a family, and placements of agreeing words that are enumerated to find it, at most.
+MOST_MASKS, ENUMERATED = 4, 5000
 #: Filter of test-side seeds, two bits each: 2^24 bits (2 MB) whatever the size of the benchmark.
 FILTER_BITS = 24
-#: Words kept on both sides of a run of hits, and the gap that ends a run.
-MARGIN = 64
+
+
+@lru_cache(maxsize=None)
+def mask_family(width: int, agree: int) -> tuple[str, ...]:
+    """Masks of word positions (1 must agree, 0 may differ), one of which fits inside whichever
+    ``agree`` of ``width`` words agree.
+
+    The heaviest masks of which a few are enough, found greedily over all placements; for wide
+    windows the run of agreeing words that no placement of the others can break.
+    """
+    if agree == width:
+        return ("1" * width,)
+    run = "1" * ceil(agree / (width - agree + 1))
+    if comb(width, agree) > ENUMERATED:
+        return (run,)
+    bits = lambda places: sum(1 << (width - 1 - i) for i in places)
+    placements = np.array([bits(c) for c in combinations(range(width), agree)])
+    for weight in range(agree, len(run), -1):
+        shapes = [c for c in combinations(range(width), weight) if c[0] == 0]
+        hits = np.zeros((len(shapes), len(placements)), bool)
+        for i, shape in enumerate(shapes):
+            for shift in range(width - shape[-1]):
+                mask = bits(x + shift for x in shape)
+                hits[i] |= placements & mask == mask
+        chosen, open_ = [], np.ones(len(placements), bool)
+        while open_.any() and len(chosen) < MOST_MASKS:
+            best = int((hits & open_).sum(1).argmax())
+            chosen.append("".join("1" if x in shapes[best] else "0"
+                                  for x in range(shapes[best][-1] + 1)))
+            open_ &= ~hits[best]
+        if not open_.any():
+            return tuple(chosen)
+    return (run,)
+
+
+def _masks(n: int, window: int, similarity: float) -> tuple[str, ...]:
+    """Masks for an item of ``n`` words."""
+    width = min(window, n)
+    return mask_family(width, max(1, ceil(similarity * width)))
 
 
 def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -59,14 +98,14 @@ def _items(benchmark: DataFrame) -> DataFrame:
         run, "item_key long, item_id long, n int, words binary").distinct()
 
 
-def _seeds(items: DataFrame) -> DataFrame:
-    """(hash, second, item_key, place): every seed of every item; short items whole."""
+def _seeds(items: DataFrame, masks: dict[int, tuple[str, ...]], window: int) -> DataFrame:
+    """(hash, second, item_key, place): every seed of every item."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             seeds, seconds, keys, places = [], [], [], []
             for key, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 words = np.frombuffer(data, np.uint64)
-                for mask in MASKS if len(words) >= SPAN else ("1" * len(words),):
+                for mask in masks[min(window, len(words))]:
                     found = seed_hashes(words, mask)
                     seeds.append(found.view(np.int64))
                     seconds.append(_second(found).view(np.int64))
@@ -81,15 +120,22 @@ def _seeds(items: DataFrame) -> DataFrame:
         run, "hash long, second long, item_key long, place int")
 
 
-def _runs(docs: DataFrame, masks: list[str], filter_bits: np.ndarray) -> DataFrame:
-    """Runs of possible hits in documents, with the hashes of the words around them."""
+def _key(docs: DataFrame) -> Column:
+    """A hash of id and text."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"]).alias("doc_key")
+
+
+def _runs(docs: DataFrame, masks: list[str], window: int, filter_bits: np.ndarray) -> DataFrame:
+    """Runs of possible hits in documents, with the hashes of the words that any window around
+    one of them can hold."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for part in batches(parts):
             out: list[tuple] = []
-            for doc, text in zip(part.column(0).to_pylist(), binaries(part.column(1))):
+            for doc, key, text in zip(part.column(0).to_pylist(), part.column(2).to_pylist(),
+                                      binaries(part.column(1))):
                 words = known.of(lowered(text))
-                places, seeds = [], []
+                places, seeds = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
                 for mask in masks:
                     found = seed_hashes(words, mask)
                     hit = np.flatnonzero(in_filter(filter_bits, found))
@@ -101,11 +147,10 @@ def _runs(docs: DataFrame, masks: list[str], filter_bits: np.ndarray) -> DataFra
                     continue
                 order = np.argsort(place, kind="stable")
                 place, seed = place[order], seed[order].view(np.int64)
-                key = xxhash.xxh3_64_intdigest(text + b" " + str(doc).encode()) - (1 << 63)
-                cuts = np.flatnonzero(np.diff(place) > MARGIN) + 1
+                cuts = np.flatnonzero(np.diff(place) > 2 * window) + 1
                 for at, hashes in zip(np.split(place, cuts), np.split(seed, cuts)):
-                    first = max(0, int(at[0]) - MARGIN)
-                    last = int(at[-1]) + SPAN + MARGIN
+                    first = max(0, int(at[0]) - window)
+                    last = int(at[-1]) + window
                     out.append((doc, key, first, words[first:last].tobytes(),
                                 at.tolist(), hashes.tolist()))
             yield pa.RecordBatch.from_arrays(
@@ -113,7 +158,7 @@ def _runs(docs: DataFrame, masks: list[str], filter_bits: np.ndarray) -> DataFra
                     (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()),
                      pa.list_(pa.int64())))],
                 ["doc_id", "doc_key", "first", "around", "places", "hashes"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text", _key(docs)).mapInArrow(
         run, "doc_id long, doc_key long, first int, around binary, places array<int>,"
              " hashes array<long>")
 
@@ -153,7 +198,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     hashed, and passes a filter of fixed size to an exact join with the items' seeds. A hit
     aligns document and item; the pair counts if some ``window`` consecutive words of the item
     (all, if it has fewer) agree with the aligned ones of the document in at least the share
-    ``similarity``. Items shorter than a mask are sought whole.
+    ``similarity``. The masks for a number of words fit into every such agreement, so each
+    window that counts is seeded, whichever words are substituted.
 
     Null or empty texts and items match nothing. Ids may be null or repeated: a pair of ids is
     returned once, with its best window (then the first). Other columns are not read.
@@ -161,12 +207,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     Result: doc_id, item_id, doc_start, item_start, n_words, n_same (words counted from 0).
     """
     items = written(_items(benchmark), "seed-items")
-    short = [r.n for r in items.where(F.col("n") < SPAN).select("n").distinct().collect()]
-    masks = [*MASKS, *("1" * n for n in sorted(short))]
-    seeds = _seeds(items)
+    widths = items.select(F.least("n", F.lit(window)).alias("n")).distinct().collect()
+    families = {r.n: _masks(r.n, window, similarity) for r in widths}
+    masks = sorted({m for family in families.values() for m in family})
+    seeds = _seeds(items, families, window)
     bits = bit_filter(seeds.select(F.explode(F.array("hash", "second")).alias("hash")), "hash",
                       FILTER_BITS)
-    runs = written(_runs(docs, masks, bits), "seed-runs")
+    runs = written(_runs(docs, masks, window, bits), "seed-runs")
     hits = runs.select("doc_key", "first", F.explode(F.arrays_zip("places", "hashes")).alias("hit"))
     hits = hits.select("doc_key", "first", F.col("hit.places").alias("at"),
                        F.col("hit.hashes").alias("hash"))
