@@ -128,6 +128,23 @@ def test_contaminated_by_substituted_passages(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want
 
 
+def test_only_the_contaminated_texts_of_an_id_are_removed(spark):
+    pick = random.Random(7)
+    words = [f"w{i}" for i in range(2000)]
+    clean = [" ".join(pick.choices(words, k=30)) for _ in range(6)]
+    items = [(1, " ".join(pick.choices(words, k=20)))]
+    bad = f"{clean[0]} {items[0][1]}"
+    rows = [(None, bad), (5, bad), (5, bad), *[(None, t) for t in clean[:3]], (None, None),
+            *[(5, t) for t in clean[3:]], (6, clean[0])]
+    docs = frame(spark, rows)
+    found = decontaminate.contaminated(docs, benchmark(spark, items))
+    left = decontaminate.without_contaminated(docs, found)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        (r for r in rows if r[1] != bad), key=str)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.pairs_of_ids(found).collect()} == {(None, 1), (5, 1)}
+
+
 def test_contaminated_tables(spark):
     rows = table(FOLDER, "documents", "doc_id, text")
     items = table(FOLDER, "benchmark", "item_id, text")

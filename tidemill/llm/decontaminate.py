@@ -122,7 +122,7 @@ def _seeds(items: DataFrame, masks: dict[int, tuple[str, ...]], window: int) ->
 
 def _key(docs: DataFrame) -> Column:
     """A hash of id and text."""
-    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"]).alias("doc_key")
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
 
 
 def _runs(docs: DataFrame, masks: list[str], window: int, filter_bits: np.ndarray) -> DataFrame:
@@ -180,14 +180,14 @@ def _verified(pairs: DataFrame, window: int, similarity: float) -> DataFrame:
                 same = sums[width:] - sums[:-width]
                 best = int(same.argmax())
                 if same[best] >= similarity * width:
-                    out.append((r["doc_id"], r["item_id"], r["diagonal"] + low + best, low + best,
-                                width, int(same[best])))
+                    out.append((r["doc_id"], r["doc_key"], r["item_id"], r["diagonal"] + low + best,
+                                low + best, width, int(same[best])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate(
-                    (pa.int64(), pa.int64(), *[pa.int32()] * 4))],
-                ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_same"])
-    return pairs.mapInArrow(run, "doc_id long, item_id long, doc_start int, item_start int,"
-                                 " n_words int, n_same int")
+                    (*[pa.int64()] * 3, *[pa.int32()] * 4))],
+                ["doc_id", "doc_key", "item_id", "doc_start", "item_start", "n_words", "n_same"])
+    return pairs.mapInArrow(run, "doc_id long, doc_key long, item_id long, doc_start int,"
+                                 " item_start int, n_words int, n_same int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
@@ -201,10 +201,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     ``similarity``. The masks for a number of words fit into every such agreement, so each
     window that counts is seeded, whichever words are substituted.
 
-    Null or empty texts and items match nothing. Ids may be null or repeated: a pair of ids is
-    returned once, with its best window (then the first). Other columns are not read.
+    Null or empty texts and items match nothing. Ids may be null or repeated: an item and
+    a text of an id are returned once, with their best window (then the first); ``doc_key`` tells
+    the texts of an id apart. Other columns are not read.
 
-    Result: doc_id, item_id, doc_start, item_start, n_words, n_same (words counted from 0).
+    Result: doc_id, doc_key, item_id, doc_start, item_start, n_words, n_same (words counted from 0).
     """
     items = written(_items(benchmark), "seed-items")
     widths = items.select(F.least("n", F.lit(window)).alias("n")).distinct().collect()
@@ -223,16 +224,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     around = runs.select("doc_id", "doc_key", "first", "around").distinct()
     pairs = (aligned.join(around, ["doc_key", "first"])
              .join(items.select("item_key", "item_id", "words"), "item_key")
-             .select("doc_id", "item_id", "first", "diagonal", "around", "words"))
+             .select("doc_id", "doc_key", "item_id", "first", "diagonal", "around", "words"))
+    return _best(_verified(pairs, window, similarity), "doc_id", "doc_key", "item_id")
+
+
+def _best(found: DataFrame, *names: str) -> DataFrame:
+    """The best window (then the first) of all rows that agree in the names."""
     best = F.max(F.struct("n_same", (-F.col("doc_start")).alias("doc"),
                           (-F.col("item_start")).alias("item"), "n_words")).alias("best")
-    return (_verified(pairs, window, similarity).groupBy("doc_id", "item_id").agg(best)
-            .select("doc_id", "item_id", (-F.col("best.doc")).alias("doc_start"),
-                    (-F.col("best.item")).alias("item_start"), F.col("best.n_words"),
-                    F.col("best.n_same")))
+    return found.groupBy(*names).agg(best).select(
+        *names, (-F.col("best.doc")).alias("doc_start"), (-F.col("best.item")).alias("item_start"),
+        F.col("best.n_words"), F.col("best.n_same"))
+
+
+def pairs_of_ids(found: DataFrame) -> DataFrame:
+    """Each pair of ids once, with the best window of all texts of the document's id."""
+    return _best(found, "doc_id", "item_id")
 
 
 def without_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents of which no passage was found (null ids compared as equal)."""
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Documents of which no passage was found, told by id (null ids compared as equal) and text."""
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("doc_key").alias("bad_key")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"])
+                     & (_key(docs) == bad["bad_key"]), "left_anti")

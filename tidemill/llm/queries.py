@@ -49,8 +49,8 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of a document and a benchmark item of which it holds a passage."""
-    return decontaminate.contaminated(_table(spark, folder, "documents"),
-                                      _table(spark, folder, "benchmark"))
+    return decontaminate.pairs_of_ids(decontaminate.contaminated(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")))
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
