@@ -256,6 +256,26 @@ def test_suffix_tree_is_a_distribution_and_helps(spark):
     assert got["sum(score)"] > got["sum(base_score)"]
 
 
+def test_suffix_tree_keeps_what_is_frequent_whatever_the_corpus(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    noise = [" ".join(f"n{x}" for x in rng.integers(0, 3000, 40)) for _ in range(5000)]
+    rows = [(None, t) for t in noise] + [(None, f"{t} in the very red barn") for t in noise[:12]]
+    rows += [(None, f"{t} in the very blue house") for t in noise[12:24]]
+    rows += [(None, f"{t} of the very green tree") for t in noise[24:36]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tree, rest, _ = suffixtree._learned(docs)
+    assert rest.isEmpty() and tree.depth >= 3
+    context = np.zeros(1, np.uint64)
+    for word in (b"very", b"the", b"of"):
+        context = suffixtree.longer(context, suffixtree.WordHashes().of([word]))
+        assert tree.states(context)[0] > 0, word
+    whole = sorted(r.score for r in suffixtree.scored(docs).collect())
+    for name in ("CONTEXT_SHARE", "KNOWN_SHARE"):
+        monkeypatch.setattr(suffixtree, name, 1e-3)
+    assert not suffixtree._learned(docs)[1].isEmpty()
+    assert np.allclose(whole, sorted(r.score for r in suffixtree.scored(docs).collect()), rtol=1e-9)
+
+
 def test_suffix_tree_of_nothing(spark):
     assert suffixtree.scored(frame(spark, [])).count() == 0
     got = suffixtree.scored(frame(spark, [(1, None), (2, "")])).collect()
