@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from compare import database, difference, spark_rows, sql_rows
@@ -336,6 +337,16 @@ def test_factorisation_identity():
     assert abs(machine.raw(quality.Vector(slots, values)) - want) < 1e-9
 
 
+def test_lexicon_counts_texts_that_are_no_copies(spark):
+    common = min((f"c{i}" for i in range(5000)), key=lambda w: xxhash.xxh3_64_intdigest(w, 0))
+    rows = [(i, f"{common} w{i} x{i} {'blargh' if i % 3 == 0 else 'kindly'}") for i in range(60)]
+    rows += [(i, f"{common} copied wretch") for i in range(60, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    given = labels(spark, [(i, 1, int("blargh" in t or "wretch" in t)) for i, t in rows])
+    weights = toxicity.toxicity_lexicon(docs, given).weights
+    assert "=blargh" in weights and "=wretch" not in weights
+
+
 @pytest.fixture(scope="module")
 def characters(spark):
     prose = "you are an idiot and a moron . this is stupid trash , what a loser and a clown ! pathetic "

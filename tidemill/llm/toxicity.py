@@ -193,8 +193,8 @@ class _Evidence(dict):
         return min(total, 40.0), float(np.log1p(len(tokens)))
 
 
-def _sketch(tokens: set[str], salt: int) -> int:
-    return min((xxhash.xxh3_64_intdigest(t, salt) for t in tokens), default=0) - (1 << 63)
+def _set_hash(tokens: set[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(sorted(tokens)))
 
 
 def toxicity_lexicon(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0,
@@ -203,32 +203,27 @@ def toxicity_lexicon(docs: DataFrame, labels: DataFrame, parts: int = 5, held: i
     documents outside the held fold.
 
     Copies would make all their words look telling, so of the labelled documents with the same
-    label and one of two minimum hashes of words only one counts.
+    label and the same set of tokens only one counts.
     """
     model = language_model(trigram_counts(docs))
     rows = labelled(docs, labels, "toxic", parts, held, limit)
 
-    def sketched(parts_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def restored_rows(parts_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts_in):
-            found, texts, sketches = [], part.column(1).to_pylist(), ([], [])
+            found, texts, sets = [], part.column(1).to_pylist(), []
             for text in texts:
                 tokens, spaced = _distinct(text or "")
                 words = {restored(t, model) for t in tokens}
                 for stretch in spaced:
                     words.update(decoded(stretch.replace(" ", ""), model, spaced=True).split())
                 found.append(sorted({e for w in words for e in entries(w)}))
-                for i in (0, 1):
-                    sketches[i].append(_sketch(tokens, i))
+                sets.append(_set_hash(tokens))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(3), pa.array(found, pa.list_(pa.string())),
-                 pa.array(sketches[0], pa.int64()), pa.array(sketches[1], pa.int64())],
-                ["doc_id", "label", "entries", "first", "second"])
-    seen = rows.mapInArrow(sketched, "doc_id long, label int, entries array<string>, first long,"
-                                     " second long")
-    for name in ("first", "second"):
-        seen = seen.groupBy("label", name).agg(F.min_by(
-            F.struct(*[c for c in seen.columns if c not in ("label", name)]), "doc_id")
-            .alias("row")).select("label", "row.*")
+                 pa.array(sets, pa.binary())], ["doc_id", "label", "entries", "tokens"])
+    seen = (rows.mapInArrow(restored_rows, "doc_id long, label int, entries array<string>,"
+                                           " tokens binary")
+            .groupBy("label", "tokens").agg(F.min_by("entries", "doc_id").alias("entries")))
     totals = {r.label: r.n for r in seen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     counts = (seen.select("label", F.explode("entries").alias("entry")).groupBy("entry")
