@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import decontaminate, minhash, mixing, quality, secrets, subspaces, substrings, suffixtree, toxicity, urls
+import public_tokenizers
+
+from tidemill.llm import (
+    bpe, decontaminate, minhash, mixing, negatives, quality, secrets, spellings, subspaces,
+    substrings, suffixtree, toxicity, urls)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,10 +108,60 @@ SELECT v.page_id, v.host, v.path, h.rule,
 FROM v LEFT JOIN h ON v.host = h.host AND v.path = h.path LEFT JOIN l ON v.canonical = l.canonical
 """
 
+
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every text under a public vocabulary, and what they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encoded(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.decoded(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(spelled.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rows of other labels for each of five positives of every 50th vector."""
+    vectors = _table(spark, folder, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label").cast("long") + 1) % 10)
+    return negatives.hard_negatives(vectors.withColumn(
+        "label", F.coalesce(moved, F.col("label").cast("long"))))
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id AS other,
+    list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id
+    ORDER BY score DESC, other)::INT AS rank, other AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.alike
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op13_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of 7 letters or more, one letter of every 31st left out, with the words they vary."""
+    return spellings.spelling_groups(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_subspaces": op1_subspaces, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity,
     "op4_substrings": op4_substrings, "op5_secrets": op5_secrets, "op6_minhash": op6_minhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing, "op9_suffix_tree": op9_suffix_tree,
-    "op10_url_filter": op10_url_filter}
-ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL}
+    "op10_url_filter": op10_url_filter, "op11_byte_bpe": op11_byte_bpe,
+    "op12_hard_negatives": op12_hard_negatives, "op13_spellings": op13_spellings}
+ORACLE: dict[str, str] = {"op8_mixing": OP8_SQL, "op10_url_filter": OP10_SQL,
+                          "op12_hard_negatives": OP12_SQL}
