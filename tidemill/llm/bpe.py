@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -188,8 +189,8 @@ def vocabulary_file(path: str) -> bytes:
 def _slices(parts: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``SLICE`` bytes of a column or one row."""
     for part in parts:
-        sizes = part.column(column).fill_null("").cast(pa.binary())
-        ends = np.array([len(x) for x in sizes.to_pylist()], np.int64).cumsum()
+        sizes = pc.binary_length(part.column(column).cast(pa.binary())).fill_null(0)
+        ends = sizes.to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
         start = 0
         while start < part.num_rows:
             used = ends[start - 1] if start else 0
@@ -241,7 +242,13 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(sent.value)
         for part in parts:
-            texts = [known.decoded(x or ()) for x in part.column(at).to_pylist()]
+            column = part.column(at)
+            if column.values.null_count:
+                raise ValueError("ids hold a null")
+            flat, ends = column.values.to_numpy(), column.offsets.to_numpy().tolist()
+            # a row at a time: as Python's numbers, all ids of a batch would take much more room
+            texts = [known.decoded(flat[i:j].tolist() if valid else ())
+                     for i, j, valid in zip(ends, ends[1:], column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(texts, pa.binary())], [*names, "decoded"])
     schema = rows.select(*names).schema.add("decoded", "binary")
