@@ -26,7 +26,7 @@ MEDIUM = "/root/testdata/sf0.01"
 def test_every_query_is_sql_or_tested():
     assert set(QUERIES) == {f"op{n}_{name}" for n, name in enumerate(
         ("subspaces", "quality", "toxicity", "substrings", "secrets", "minhash", "decontaminate",
-         "mixing", "suffix_tree", "url_filter"), 1)}
+         "mixing", "suffix_tree", "url_filter", "byte_bpe", "hard_negatives", "spellings"), 1)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -233,48 +233,100 @@ def test_suffix_tree_counts(spark):
     assert np.allclose(sorted(r[5] for r in got), sorted(r[5] for r in want), rtol=1e-9)
 
 
-def test_suffix_tree_is_a_distribution_and_helps(spark):
+class PlainTree:
+    """The tree in dictionaries of words, all contexts tried one after the other."""
+
+    def __init__(self, texts):
+        self.texts = [(t or "").encode().lower().split() + [b""] for t in texts]
+        self.counts = Counter(w for ws in self.texts for w in ws)
+        self.mass = sum(self.counts.values()) + len(self.counts) + 1
+        self.left, self.known, self.depth = {}, {}, 0
+        while self.depth < suffixtree.DEPTH and self.grown(self.depth + 1):
+            self.depth += 1
+
+    def grown(self, length):
+        follow = {}
+        for ws in self.texts:
+            for i in range(length, len(ws)):
+                context = tuple(ws[i - length:i])
+                if length == 1 or context[1:] in self.left:
+                    follow.setdefault(context, Counter())[ws[i]] += 1
+        for context, nexts in follow.items():
+            total, seen = sum(nexts.values()), {w: n for w, n in nexts.items() if n >= 2}
+            base = {w: self.p(context[1:], w) for w in seen}
+            rest, told = total - sum(seen.values()), sum(
+                n * math.log(n / total / base[w]) for w, n in seen.items())
+            if rest:
+                told += rest * math.log(rest / total / (1 - sum(base.values())))
+            if total >= 10 and seen and 2 * told > len(seen) + 5 * math.sqrt(2 * len(seen)):
+                self.left[context] = (rest + 20) / (total + 20)
+                self.known[context] = {w: n / (total + 20) for w, n in seen.items()}
+        return any(len(c) == length for c in self.left)
+
+    def p(self, context, word):
+        """By the longest retained suffix of the context."""
+        while context and context not in self.left:
+            context = context[1:]
+        if not context:
+            return (self.counts[word] + 1) / self.mass
+        return self.known[context].get(word, 0) + self.left[context] * self.p(context[1:], word)
+
+    def score(self, text):
+        ws = (text or "").encode().lower().split() + [b""]
+        out = 0.0
+        for i, w in enumerate(ws):
+            length = 0  # suffixes grow while they are retained
+            while length < i and tuple(ws[i - length - 1:i]) in self.left:
+                length += 1
+            out += math.log10(self.p(tuple(ws[i - length:i]), w))
+        return out
+
+
+def phrases():
+    rng = np.random.default_rng(4)
+    noise = [" ".join(f"n{x}" for x in rng.zipf(1.4, 40) % 3000) for _ in range(1500)]
+    ends = ("in the very red barn", "in the very blue house", "of the very green tree")
+    return noise + [f"{t} {ends[i % 3]}" for i, t in enumerate(noise[:60])] + ["In The Very Red x"]
+
+
+@pytest.mark.parametrize("bounds", [None, (0, 0), (30, 100)], ids=["head", "rest", "both"])
+def test_suffix_tree_is_that_of_dictionaries(spark, monkeypatch, bounds):
+    """Whatever share of it is sent to the tasks, and in however many parts it is counted."""
+    if bounds:
+        monkeypatch.setattr(suffixtree, "HEAD_WORDS", bounds[0])
+        monkeypatch.setattr(suffixtree, "HEAD_TERMS", bounds[1])
+        monkeypatch.setattr(suffixtree, "PART", 1000)
+        monkeypatch.setattr(suffixtree, "COUNTED", 5000)
+    rows = [(i, t) for i, t in enumerate(phrases())] + [(None, None), (7000, "in the very red roof")]
+    plain = PlainTree([t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2])
+    assert plain.depth >= 3 and len(plain.left) > 30
+    got = sorted(((r.doc_id, r.score) for r in suffixtree.scored(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()), key=str)
+    want = sorted(((i, plain.score(t)) for i, t in rows), key=str)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-6)
+
+
+def test_suffix_tree_is_a_distribution():
+    plain = PlainTree(phrases())
+    for context in [(), *list(plain.left)[:40]]:
+        total = sum(plain.p(context, w) for w in plain.counts)
+        unknown = math.prod(plain.left[context[i:]] for i in range(len(context))) / plain.mass
+        assert abs(total + unknown - 1) < 1e-9
+
+
+def test_suffix_tree_helps(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
-    tree, counts = suffixtree.suffix_tree(docs)
-    assert len(tree.known) > 100 and (tree.parent[1:] >= 0).all()
-    words = {r.word for r in counts.collect()}
-    n, ids = len(tree.counts), np.arange(len(tree.counts))
-    root = 10 ** tree.root(tree.counts)
-    rare = (tree.kinds - n) * 1.0
-    rest = 1 - root.sum()  # of rarer words and of unknown ones
-    assert len(words) == tree.kinds and rest > 0 and rare >= 0
-    single = np.flatnonzero(tree.single_state)
-    for context in [0, *single[:20]]:
-        heads = np.array([tree.log10(np.array([context, i]))[1] for i in ids[:400]])
-        state = tree.single_state[context]
-        left = 10 ** tree.left[state] if state else 1.0
-        known = tree.known[(tree.known // n) == state] % n
-        total = (10 ** tree.known_log[(tree.known // n) == state]).sum() if state else 0.0
-        total += left * (1 - root[known].sum() if state else 1.0)
-        assert abs(total - 1) < 1e-6
-        assert np.isfinite(heads).all()
     got = suffixtree.scored(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert got["sum(score)"] > got["sum(base_score)"]
 
 
-def test_suffix_tree_keeps_what_is_frequent_whatever_the_corpus(spark, monkeypatch):
-    rng = np.random.default_rng(4)
-    noise = [" ".join(f"n{x}" for x in rng.integers(0, 3000, 40)) for _ in range(5000)]
-    rows = [(None, t) for t in noise] + [(None, f"{t} in the very red barn") for t in noise[:12]]
-    rows += [(None, f"{t} in the very blue house") for t in noise[12:24]]
-    rows += [(None, f"{t} of the very green tree") for t in noise[24:36]]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    tree, rest, _ = suffixtree._learned(docs)
-    assert rest.isEmpty() and tree.depth >= 3
-    context = np.zeros(1, np.uint64)
-    for word in (b"very", b"the", b"of"):
-        context = suffixtree.longer(context, suffixtree.WordHashes().of([word]))
-        assert tree.states(context)[0] > 0, word
-    whole = sorted(r.score for r in suffixtree.scored(docs).collect())
-    for name in ("CONTEXT_SHARE", "KNOWN_SHARE"):
-        monkeypatch.setattr(suffixtree, name, 1e-3)
-    assert not suffixtree._learned(docs)[1].isEmpty()
-    assert np.allclose(whole, sorted(r.score for r in suffixtree.scored(docs).collect()), rtol=1e-9)
+def test_most_frequent_is_bounded(spark):
+    rows = spark.createDataFrame([(n,) for n in range(1, 400)], "n long")
+    for most in (0, 10, 399, 1000):
+        kept = [r.n for r in rows.where(suffixtree._most_frequent(rows, most)).collect()]
+        assert len(kept) <= most and (most < 399 or len(kept) == 399)
+        assert sorted(kept) == list(range(400 - len(kept), 400))
 
 
 def test_suffix_tree_of_nothing(spark):

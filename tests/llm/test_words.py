@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from text_samples import awkward, frame, table
-from tidemill.llm import bpe, negatives, spellings
+from tidemill.llm import bpe, negatives, spellings, words
 from tidemill.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,6 +26,22 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+@pytest.mark.parametrize("block", [16, 1 << 20])
+def test_text_hashes_tell_words_apart(monkeypatch, block):
+    monkeypatch.setattr(words, "BLOCK", block)
+    texts = [None if t is None else t.encode() for _, t in awkward()] + [
+        b"", b" ", b"One\x1cone ONE\tone", b"x" * 100, b"x" * 101 + b" x", None]
+    for lower in (False, True):
+        found, sizes = words.text_hashes(texts, lower)
+        plain = [(t.lower() if lower else t).split() if t else [] for t in texts]
+        assert sizes.tolist() == [len(x) for x in plain]
+        flat = [w for x in plain for w in x]
+        by_word = dict(zip(flat, found.tolist()))
+        assert [by_word[w] for w in flat] == found.tolist()
+        assert len(set(by_word.values())) == len(by_word) > 100
+    assert words.text_hashes([], True)[0].size == 0
+
+
 def library(path=RANKS):
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
@@ -204,16 +220,16 @@ def misspelt(seed=4):
     base = ["".join(pick.choices(letters, k=pick.randint(6, 9))) for _ in range(250)]
     base += ["aaaaaaa" + "a" * i for i in range(6)] + ["x" * 300, "x" * 301, "x" * 299 + "y"]
     chain = {"kettleworm": 2000, "kettleworn": 150, "kettlewern": 12, "kattlewern": 2}
-    words = [w for w, n in chain.items() for _ in range(n)]
+    runs = [w for w, n in chain.items() for _ in range(n)]
     for w in base:
         for _ in range(pick.choice([1, 2, 3, 25])):
-            words += [w, w.upper()]
+            runs += [w, w.upper()]
             i = pick.randrange(len(w))
-            words.append(pick.choice([w[:i] + w[i + 1:], w[:i] + pick.choice(letters) + w[i:],
-                                      w[:i] + pick.choice(letters) + w[i + 1:], w]))
-    pick.shuffle(words)
+            runs.append(pick.choice([w[:i] + w[i + 1:], w[:i] + pick.choice(letters) + w[i:],
+                                     w[:i] + pick.choice(letters) + w[i + 1:], w]))
+    pick.shuffle(runs)
     rows = [(i if i % 11 else None, pick.choice([" ", "_", "1", "\n", "ß "]).join(
-        words[40 * i:40 * i + 40])) for i in range(len(words) // 40 + 1)]
+        runs[40 * i:40 * i + 40])) for i in range(len(runs) // 40 + 1)]
     return rows + rows[:3] + [(1, None), (2, ""), (3, "short"), (4, "y" * 50_000 + " " + "y" * 50_000)]
 
 

@@ -48,9 +48,8 @@ def bit_filter(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     words = (hashes.select(F.shiftright(place, 6).alias("word"),
                            F.expr(f"shiftleft(1L, cast({column} & 63L as int))").alias("bit"))
              .groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    for word, mask in words.collect():
-        out[word] = mask
+    out, found = np.zeros(1 << (bits - 6), np.int64), words.toArrow()
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out.view(np.uint64)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,63 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: Bytes of text whose words are hashed at a time.
+BLOCK = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTES = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+_LOWERED = _BYTES.copy()
+_LOWERED[0x41:0x5B] = _BYTES[0x61:0x7B]
+_RATE = 0xD1342543DE82EF95
+
+
+@lru_cache(maxsize=4)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the rate and of its inverse mod 2^64."""
+    out = []
+    for rate in (_RATE, pow(_RATE, -1, 1 << 64)):
+        powers = np.ones(1, np.uint64)
+        for i in range(bits):
+            powers = np.concatenate((powers, powers * np.uint64(pow(rate, 1 << i, 1 << 64))))
+        out.append(powers)
+    return out[0], out[1]
+
+
+def text_hashes(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in a row, and how many each text has; ``lower``:
+    with A-Z lower-cased.
+
+    A word's hash is a polynomial in its bytes' random values. Those of a block come from one
+    running sum over its bytes, so no word becomes an object.
+    """
+    data = np.frombuffer(b" ".join([t or b"" for t in texts]), np.uint8)
+    sizes = np.array([len(t or b"") + 1 for t in texts], np.int64)
+    values, found, first = _LOWERED if lower else _BYTES, [], []
+    start = 0
+    while start < len(data):
+        end = start + BLOCK
+        while end < len(data):  # to the last space before, or the first one after
+            spaces = np.flatnonzero(_SPACE[data[max(start, end - BLOCK):end]])
+            if len(spaces):
+                end = max(start, end - BLOCK) + int(spaces[-1]) + 1
+                break
+            end += BLOCK
+        part = data[start:end]
+        powers, inverse = _powers(max(len(part) - 1, BLOCK - 1).bit_length())
+        inside = np.concatenate(([False], ~_SPACE[part], [False]))
+        starts, ends = (np.flatnonzero(inside[1:] & ~inside[:-1]),
+                        np.flatnonzero(inside[:-1] & ~inside[1:]))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(values[part] * powers[:len(part)], out=sums[1:])
+        found.append(mixed((sums[ends] - sums[starts]) * inverse[starts]))
+        first.append(starts + start)
+        start = end
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    places = np.concatenate(first) if first else np.empty(0, np.int64)
+    return (np.concatenate(found) if found else np.empty(0, np.uint64),
+            np.diff(np.searchsorted(places, edges)))
+
+
 def window_hashes(hashes: np.ndarray, width: int, multiplier: int) -> np.ndarray:
     """A hash of each run of ``width`` word hashes: a polynomial in an odd multiplier mod 2^64."""
     n = len(hashes) - width + 1
