@@ -43,6 +43,18 @@ def test_without_repeats(spark, monkeypatch, rows, hot):
     assert sorted(got, key=str) == sorted(deduplicated(rows), key=str)
 
 
+def test_copies_among_the_texts_of_an_id(spark, monkeypatch):
+    """A copy and another text under one id, with no other mark than a hot passage."""
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
+    monkeypatch.setattr(substrings, "HOT_LEAST", 2)
+    passage = " ".join(f"w{i}" for i in range(13))
+    other = " ".join(f"x{i}" for i in range(20))
+    rows = [(1, f"{passage} one"), (3, other), (5, other), (5, f"u {passage} two")]
+    got = [tuple(r)[:4] for r in substrings.without_repeats(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(deduplicated(rows), key=str)
+    assert sum(r[2] for r in got) == 33
+
+
 def test_cover_aligns_any_two_positions():
     for a in range(7):
         for b in range(7):

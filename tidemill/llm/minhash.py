@@ -11,16 +11,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.llm.components import components
 from tidemill.llm.store import bit_filter, in_filter, written
-from tidemill.llm.words import WordHashes, batches, binaries, lowered, mixed, window_hashes
+from tidemill.llm.words import batches, binaries, each_text, mixed, window_hashes
 
 #: 40 bands of 4 minima: two texts of similarity 0.75 share no band with probability 2.5e-7.
 BANDS, ROWS = 40, 4
 HASHES = BANDS * ROWS
 SHINGLE = 5
 #: Links need ``SIMILAR`` percent; pairs whose minima agree in less than ``AGREE`` of the places
-#: (4.5 standard deviations below 0.75: 3 in a million pairs just linked) are not compared in full.
+#: (6.5 standard deviations below 0.75: 4 in 10^11 pairs just linked) are not compared in full.
 SIMILAR = 75
-AGREE = 0.75 - 4.5 * (0.75 * 0.25 / HASHES) ** 0.5
+AGREE = 0.75 - 6.5 * (0.75 * 0.25 / HASHES) ** 0.5
 #: Rows of a bucket that one task compares with as many others.
 CHUNK = 2000
 #: Bits of the filter of documents to compare: 2 MB whatever their number.
@@ -32,11 +32,11 @@ _OFFSETS = _random.integers(0, 1 << 63, HASHES, np.uint64)
 _MULTIPLIER = 0x2545F4914F6CDD1D
 
 
-def shingles(words: list[bytes], known: WordHashes, width: int = SHINGLE) -> np.ndarray:
-    """Distinct shingles as sorted 64-bit hashes; fewer words make one shingle, none make none."""
-    if not words:
+def shingles(hashes: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """Distinct shingles of a text's word hashes as sorted 64-bit hashes; fewer words make one
+    shingle, none make none."""
+    if not len(hashes):
         return np.empty(0, np.uint64)
-    hashes = known.of(words)
     if len(hashes) < width:
         return mixed(window_hashes(hashes, len(hashes), _MULTIPLIER) + np.uint64(len(hashes)))
     return np.unique(window_hashes(hashes, width, _MULTIPLIER))
@@ -60,12 +60,11 @@ def set_key(found: np.ndarray) -> bytes | None:
 def signed_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, n_shingles, key, minima) of each row; the mark is a hash of the text."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         last: dict[bytes, bytes] = {}
-        for part in batches(parts):
+        for part in batches(parts, 500):
             sizes, keys, signs = [], [], []
-            for text in binaries(part.column(2)):
-                found = shingles(lowered(text), known)
+            for words in each_text(binaries(part.column(2)), True):
+                found = shingles(words)
                 key = set_key(found)
                 if key is not None and key not in last:
                     if len(last) > 20_000:
@@ -96,12 +95,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, short: bool = False) -> DataFrame:
     bits = bit_filter(wanted.select(tail.alias("hash")), "hash", FILTER_BITS)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         sent: set[bytes] = set()
         for part in batches(parts, 500):
             got = {}
-            for text in binaries(part.column(0)):
-                found = shingles(lowered(text), known)
+            for words in each_text(binaries(part.column(0)), True):
+                found = shingles(words)
                 key = set_key(found)
                 if key is not None and key not in sent and in_filter(
                         bits, np.array([int.from_bytes(key[9:], "big")], np.uint64))[0]:
@@ -117,12 +115,45 @@ def _sets(docs: DataFrame, wanted: DataFrame, short: bool = False) -> DataFrame:
             .agg(F.first("shingles").alias("shingles")))
 
 
-def _members(signed: DataFrame) -> DataFrame:
-    """(bucket, key, n): the classes in each bucket of each band; copies repeat."""
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    part = F.expr(f"substring(minima, band * {4 * ROWS} + 1, {4 * ROWS})")
-    return (signed.where("key IS NOT NULL").select("key", F.col("n_shingles").alias("n"), "minima", band)
-            .select(F.xxhash64("band", part).alias("bucket"), "band", "key", "n"))
+def _buckets(signs: np.ndarray) -> np.ndarray:
+    """The bucket of each row of minima in each band."""
+    halves = signs.reshape(len(signs), BANDS, ROWS).astype(np.uint64)
+    out = mixed(halves[:, :, 0] << np.uint64(32) | halves[:, :, 1])
+    out = mixed(out + (halves[:, :, 2] << np.uint64(32) | halves[:, :, 3]))
+    return mixed(out + np.arange(BANDS, dtype=np.uint64))
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """(bucket, band, key, n): the classes in each bucket that holds more than one.
+
+    Buckets are counted by their hash alone; a filter of those met twice lets few other rows
+    leave their task, and the join is exact.
+    """
+    def hashes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches(parts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_buckets(_signs(part.column(0).to_pylist())).ravel().view(np.int64))],
+                ["bucket"])
+    twice = written(classes.select("minima").mapInArrow(hashes, "bucket long")
+                    .groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"),
+                    "minhash-shared")
+    sent = classes.sparkSession.sparkContext.broadcast(
+        bit_filter(twice.select("bucket"), "bucket", FILTER_BITS))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches(parts):
+            buckets = _buckets(_signs(part.column(2).to_pylist()))
+            row, band = np.nonzero(in_filter(sent.value, buckets))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets[row, band].view(np.int64)), pa.array(band, pa.int32()),
+                 part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))],
+                ["bucket", "band", "key", "n"])
+    return (classes.select("key", F.col("n_shingles").alias("n"), "minima")
+            .mapInArrow(run, "bucket long, band int, key binary, n long").join(twice, "bucket"))
+
+
+def _signs(minima: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(minima), np.uint32).reshape(-1, HASHES)
 
 
 def _alike_in_size(n: str, m: str) -> Column:
@@ -206,7 +237,7 @@ def _near_pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
                                          ["a", "b"])
 
 
-def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     def agree(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -231,8 +262,7 @@ def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
 
     pairs = written(pairs, "minhash-pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    signs = (signed.join(keys, "key", "left_semi").groupBy("key")
-             .agg(F.first("minima").alias("minima")))
+    signs = classes.join(keys, "key", "left_semi").select("key", "minima")
     likely = written(beside(pairs, signs, "minima").mapInArrow(agree, "a binary, b binary"),
                      "minhash-likely")
     keys = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
@@ -263,11 +293,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     signed = written(signed_documents(docs), "minhash-signed")
-    members = _members(signed)
-    buckets = (members.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high"),
-                                             F.count(F.lit(1)).alias("size"))
-               .where("low != high").select("bucket", "size"))
-    met = written(members.join(buckets, "bucket").distinct(), "minhash-met")
+    classes = written(signed.where("key IS NOT NULL").groupBy("key").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("minima").alias("minima")),
+        "minhash-classes")
+    met = written(_members(classes), "minhash-met")
     fame = met.groupBy("key").agg(F.sum("size").alias("fame"))
     centers = (met.join(fame, "key").groupBy("bucket").agg(
         F.max_by(F.struct("key", "n"), F.struct("fame", "key")).alias("center")))
@@ -276,7 +305,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
                          & _alike_in_size("n", "center.n"))
             .select(F.least("key", "center.key").alias("a"),
                     F.greatest("key", "center.key").alias("b")).distinct())
-    links = _linked(docs, signed, star)
+    links = _linked(docs, classes, star)
     groups = components(links, "a", "b")
 
     placed = shared.join(groups, shared["key"] == groups["node"], "left").select(
@@ -287,10 +316,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
     open_members = written(placed.where(F.col("key") != F.col("center.key"))
                            .join(mixed_buckets, "bucket").drop("center"), "minhash-open")
     keys = written(open_members.select("key").distinct(), "minhash-wanted")
-    signs = (signed.join(keys, "key", "left_semi").groupBy("key")
-             .agg(F.first("minima").alias("minima")))
+    signs = classes.join(keys, "key", "left_semi").select("key", "minima")
     beside = written(signs.join(_sets(docs, keys, short=True), "key"), "minhash-beside")
-    more = _linked(docs, signed, _open_pairs(open_members.join(beside, "key")))
+    more = _linked(docs, classes, _open_pairs(open_members.join(beside, "key")))
     if not more.isEmpty():
         groups = components(links.unionByName(more), "a", "b")
 

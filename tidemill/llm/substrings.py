@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemill.llm.store import written
-from tidemill.llm.words import WordHashes, batches, binaries, window_hashes
+from tidemill.llm.words import batches, binaries, each_text, window_hashes, window_hashes_at
 
 #: Positions p with p mod 7 in the cover are hashed. Any two positions have a shift under 7
 #: that brings both into the cover, so two equal runs of 13 words share an equal run of 7
@@ -73,11 +73,9 @@ def hot_runs(docs: DataFrame) -> Hot:
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
 
     def sampled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for part in batches(parts, 500):
             hashes, kinds = [], []
-            for text in binaries(part.column(1)):
-                words = known.of(_words(text))
+            for words in each_text(binaries(part.column(1)), False):
                 for kind, found in enumerate((anchors(words)[1], window_hashes(words, WINDOW, _B))):
                     found = np.unique(found)
                     hashes.append(found)
@@ -95,11 +93,12 @@ def hot_runs(docs: DataFrame) -> Hot:
     hot = docs.sparkSession.sparkContext.broadcast(both[1])
 
     def first(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, low = WordHashes(), np.full(len(hot.value), np.iinfo(np.int64).max)
-        for part in batches(parts):
-            for doc, text in zip(part.column(0).to_pylist(), binaries(part.column(1))):
+        low = np.full(len(hot.value), np.iinfo(np.int64).max)
+        for part in batches(parts, 500):
+            for doc, words in zip(part.column(0).to_pylist(),
+                                  each_text(binaries(part.column(1)), False)):
                 if doc is not None:
-                    hit, at = _within(hot.value, window_hashes(known.of(_words(text)), WINDOW, _B))
+                    hit, at = _within(hot.value, window_hashes(words, WINDOW, _B))
                     np.minimum.at(low, at[hit], doc)
         seen = np.flatnonzero(low < np.iinfo(np.int64).max)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(low[seen])], ["at", "doc_id"])
@@ -119,7 +118,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     hash, and one that a smaller id has too is removed. Anchors and windows that a share of
     the documents hold are recognised from a sample and settled without dealing them, so no
     task gets all the holders of a common passage. Anchors only propose: windows are compared
-    by 96 bits. Words are compared unchanged.
+    by 96 bits, hot ones by 64. Words are compared unchanged.
 
     A null text has no words. A null id is neither smaller nor larger than another: such rows
     lose and cause nothing. Rows with one id are one document with several texts. Other columns
@@ -137,11 +136,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                      .select("doc_id", "name").distinct(), "passages-copies")
 
     def emitted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hot = WordHashes(), sent.value
+        hot = sent.value
         for part in batches(parts, 500):
             hashes, places, ids = [], [], []
-            for doc, text in zip(part.column(0).to_pylist(), binaries(part.column(1))):
-                at, found = anchors(known.of(_words(text)))
+            for doc, words in zip(part.column(0).to_pylist(),
+                                  each_text(binaries(part.column(1)), False)):
+                at, found = anchors(words)
                 if len(found):
                     cold = ~_within(hot.anchors, found)[0]
                     hashes.append(found[cold].view(np.int64))
@@ -158,31 +158,31 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     shared = (dealt.withColumn("low", F.min("doc_id").over(holders))
               .withColumn("high", F.max("doc_id").over(holders)).where("low < high")
               .select("doc_id", "place"))
-    marks = written(shared.unionByName(copies.select("doc_id", F.lit(-1).alias("place")))
-                    .groupBy("doc_id").agg(F.collect_list("place").alias("places")),
-                    "passages-marks")
+    marks = written(shared.withColumn("name", F.lit(None).cast("string")).unionByName(
+        copies.select("doc_id", F.lit(None).cast("int").alias("place"), "name"))
+        .groupBy("doc_id").agg(F.collect_list("place").alias("places"),
+                               F.collect_set("name").alias("copies")), "passages-marks")
 
     def extended(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hot = WordHashes(), sent.value
+        hot = sent.value
         for part in batches(parts, 500):
             out: list[list] = [[] for _ in range(5)]
-            for doc, text, marked in zip(part.column(0).to_pylist(), binaries(part.column(1)),
-                                         part.column(2)):
-                marked = marked.values.to_numpy() if marked.is_valid else np.empty(0, np.int32)
-                if len(marked) and marked.min() < 0 and len(marked) == 1:
-                    continue
-                words = known.of(_words(text))
+            texts = binaries(part.column(1))
+            for doc, text, marked, copied, words in zip(
+                    part.column(0).to_pylist(), texts, part.column(2),
+                    part.column(3).to_pylist(), each_text(texts, False)):
                 count = len(words) - WINDOW + 1
-                if count <= 0:
-                    continue
+                if count <= 0 or copied and hashlib.md5(text).hexdigest() in copied:
+                    continue  # a copy goes whole, and its first holder has its windows too
+                marked = marked.values.to_numpy() if marked.is_valid else np.empty(0, np.int32)
                 at, found = anchors(words)
-                places = np.concatenate((marked[marked >= 0], at[_within(hot.anchors, found)[0]]))
+                places = np.concatenate((marked, at[_within(hot.anchors, found)[0]]))
                 if not len(places):
                     continue
                 first = window_hashes(words, WINDOW, _B)
                 pick = np.flatnonzero(_near(places.astype(np.int64), count)
                                       & ~_within(hot.windows, first)[0])
-                second = window_hashes(words, WINDOW, _C)[pick] >> np.uint64(32)
+                second = window_hashes_at(words, pick, WINDOW, _C) >> np.uint64(32)
                 for column, value in zip(out, (
                         first[pick].view(np.int64), second.astype(np.uint32).view(np.int32),
                         np.full(len(pick), doc, np.int64), np.full(len(pick), _tag(text), np.int32),
@@ -204,14 +204,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                           F.collect_set("name").alias("copies")), "passages-removed")
 
     def kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hot = WordHashes(), sent.value
+        hot = sent.value
         for part in batches(parts, 500):
             out: list[list] = [[] for _ in range(4)]
-            for doc, text, places, copied in zip(
-                    part.column(0).to_pylist(), binaries(part.column(1)), part.column(2),
-                    part.column(3).to_pylist()):
+            texts = binaries(part.column(1))
+            for doc, text, places, copied, hashes in zip(
+                    part.column(0).to_pylist(), texts, part.column(2),
+                    part.column(3).to_pylist(), each_text(texts, False)):
                 words = _words(text)
-                gone = _removed(words, doc, text, places, copied, known, hot)
+                gone = _removed(hashes, doc, text, places, copied, hot)
                 left = b" ".join(w for w, g in zip(words, gone) if not g) if gone.any() else \
                     b" ".join(words)
                 for column, value in zip(out, (len(words), int(gone.sum()),
@@ -250,8 +251,8 @@ def _without_copies(docs: DataFrame, copies: DataFrame) -> DataFrame:
     return tested.where("NOT hit").select("doc_id", "text").unionByName(kept)
 
 
-def _removed(words: list[bytes], doc: int | None, text: bytes | None, places: pa.Scalar,
-             copied: list[str] | None, known: WordHashes, hot: Hot) -> np.ndarray:
+def _removed(words: np.ndarray, doc: int | None, text: bytes | None, places: pa.Scalar,
+             copied: list[str] | None, hot: Hot) -> np.ndarray:
     """Which words of a text go."""
     count = len(words) - WINDOW + 1
     if doc is None or count <= 0:
@@ -263,7 +264,7 @@ def _removed(words: list[bytes], doc: int | None, text: bytes | None, places: pa
         tags, at = (places.values.field(i).to_numpy() for i in (0, 1))
         start[at[(tags == _tag(text)) & (at >= 0)]] = True
     if len(hot.windows):
-        hit, at = _within(hot.windows, window_hashes(known.of(words), WINDOW, _B))
+        hit, at = _within(hot.windows, window_hashes(words, WINDOW, _B))
         start[hit] = hot.least[at[hit]] < doc
     edge = np.zeros(len(words) + 1, np.int64)
     edge[:count] += start

@@ -101,17 +101,40 @@ def text_hashes(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.
 
 
 def window_hashes(hashes: np.ndarray, width: int, multiplier: int) -> np.ndarray:
-    """A hash of each run of ``width`` word hashes: a polynomial in an odd multiplier mod 2^64."""
+    """A hash of each run of ``width`` word hashes: a polynomial in an odd multiplier mod 2^64,
+    put together from runs of 1, 2, 4 ... words."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
+    power = lambda k: np.uint64(pow(multiplier, k, 1 << 64))
+    runs, size = [hashes], 1
+    while 2 * size <= width:
+        last = runs[-1]
+        runs.append(last[:-size] * power(size) + last[size:])
+        size *= 2
+    total, done = np.zeros(n, np.uint64), 0
+    for k in reversed(range(len(runs))):
+        if width >> k & 1:
+            total = total * power(1 << k) + runs[k][done:done + n]
+            done += 1 << k
+    return mixed(total)
+
+
+def window_hashes_at(hashes: np.ndarray, places: np.ndarray, width: int,
+                     multiplier: int) -> np.ndarray:
+    """Those of ``window_hashes`` that start at the places."""
+    total = np.zeros(len(places), np.uint64)
     for i in range(width):
-        total *= np.uint64(multiplier)
-        total += hashes[i:i + n]
+        total = total * np.uint64(multiplier) + hashes[places + i]
     return mixed(total)
 
 
+def each_text(texts: list[bytes | None], lower: bool) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    found, sizes = text_hashes(texts, lower)
+    return np.split(found, np.cumsum(sizes)[:-1]) if len(texts) else []
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     values = values ^ (values >> np.uint64(31))
