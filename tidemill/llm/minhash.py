@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.llm.components import components
-from tidemill.llm.store import bit_filter, in_filter, written
+from tidemill.llm.store import bit_filter, in_filter, removed, stored, written
 from tidemill.llm.words import batches, binaries, each_text, mixed, window_hashes
 
 #: 40 bands of 4 minima: two texts of similarity 0.75 share no band with probability 2.5e-7.
@@ -260,15 +260,21 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
                 .join(table.select(F.col("key").alias("b"), F.col(value).alias("y")), "b")
                 .select("a", "b", "x", "y"))
 
-    pairs = written(pairs, "minhash-pairs")
+    spark = classes.sparkSession
+    pairs, first = stored(pairs, "minhash-pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     signs = classes.join(keys, "key", "left_semi").select("key", "minima")
-    likely = written(beside(pairs, signs, "minima").mapInArrow(agree, "a binary, b binary"),
-                     "minhash-likely")
+    likely, second = stored(beside(pairs, signs, "minima").mapInArrow(agree, "a binary, b binary"),
+                            "minhash-likely")
+    removed(spark, first)
     keys = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
-    sets = written(_sets(docs, written(keys, "minhash-wanted")), "minhash-sets")
-    return written(beside(likely, sets, "shingles").mapInArrow(similar, "a binary, b binary"),
-                   "minhash-links")
+    wanted, third = stored(keys, "minhash-wanted")
+    sets, fourth = stored(_sets(docs, wanted), "minhash-sets")
+    links = written(beside(likely, sets, "shingles").mapInArrow(similar, "a binary, b binary"),
+                    "minhash-links")
+    for folder in (second, third, fourth):
+        removed(spark, folder)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -292,15 +298,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
-    signed = written(signed_documents(docs), "minhash-signed")
+    spark = docs.sparkSession
+    signed, folder = stored(signed_documents(docs), "minhash-signed")
+    named = written(signed.drop("minima"), "minhash-named")
     classes = written(signed.where("key IS NOT NULL").groupBy("key").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("minima").alias("minima")),
         "minhash-classes")
-    met = written(_members(classes), "minhash-met")
+    removed(spark, folder)
+    met, folder = stored(_members(classes), "minhash-met")
     fame = met.groupBy("key").agg(F.sum("size").alias("fame"))
     centers = (met.join(fame, "key").groupBy("bucket").agg(
         F.max_by(F.struct("key", "n"), F.struct("fame", "key")).alias("center")))
     shared = written(met.drop("size").join(centers, "bucket"), "minhash-buckets")
+    removed(spark, folder)
     star = (shared.where((F.col("key") != F.col("center.key"))
                          & _alike_in_size("n", "center.n"))
             .select(F.least("key", "center.key").alias("a"),
@@ -317,12 +327,12 @@ def _grouped(docs: DataFrame) -> DataFrame:
                            .join(mixed_buckets, "bucket").drop("center"), "minhash-open")
     keys = written(open_members.select("key").distinct(), "minhash-wanted")
     signs = classes.join(keys, "key", "left_semi").select("key", "minima")
-    beside = written(signs.join(_sets(docs, keys, short=True), "key"), "minhash-beside")
+    beside, folder = stored(signs.join(_sets(docs, keys, short=True), "key"), "minhash-beside")
     more = _linked(docs, classes, _open_pairs(open_members.join(beside, "key")))
+    removed(spark, folder)
     if not more.isEmpty():
         groups = components(links.unionByName(more), "a", "b")
 
-    named = signed.select("doc_id", "mark", "n_shingles", "key")
     grouped = (named.where("key IS NOT NULL").join(
         groups.select(F.col("node").alias("key"), "component"), "key", "left")
         .select("doc_id", "mark", "n_shingles", F.coalesce("component", "key").alias("group")))
