@@ -1,3 +1,4 @@
+import glob
 import json
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill import schemas
 from tidemill.operators import changes as ch
-from tidemill.sinks import tables as st, topics as sinks
+from tidemill.sinks import dimensions as dm, tables as st, topics as sinks
 from tidemill.sources import changes as sc
 from tidemill.sources.topics import Topics, read_topic, starting_options
 
@@ -124,13 +125,13 @@ def test_key_need_not_be_listed_and_null_keys_are_dirty(spark, folder):
                            change("c", "t", after={"id": None, "name": "c"}),
                            change("c", "t", after={"name": "d"})])
     routed = ch.route_by_rule(rows, rules)
-    st.upsert_batch(ch.to_dimensions(routed), folder, 0)
-    assert sorted(r.name for r in st.read_dimension(spark, folder, "dim", ["name"]).collect()) == ["a", "b"]
+    dm.upsert_batch(ch.to_dimensions(routed), folder, 0)
+    assert sorted(r.name for r in dm.read_dimension(spark, folder, "dim", ["name"]).collect()) == ["a", "b"]
     assert ch.without_key(routed).count() == 2
 
 
 def test_dimension_never_written_is_empty(spark, folder):
-    got = st.read_dimension(spark, folder + "/none", "dim", ["id", "a"])
+    got = dm.read_dimension(spark, folder + "/none", "dim", ["id", "a"])
     assert got.columns == ["id", "a"] and got.count() == 0
 
 
@@ -141,18 +142,74 @@ def test_upsert_is_repeatable_and_merges_columns(spark, folder):
                                change("u", after={"id": "1", "a": "x3"}, ts=2, place=1)])
     for batch, rows in enumerate([first, second]):
         for _ in range(2):
-            st.upsert_batch(rows, folder, batch, "place")
-    got = sorted(map(tuple, st.read_dimension(spark, folder, "dim", ["id", "a", "b"]).collect()))
+            dm.upsert_batch(rows, folder, batch, "place")
+    got = sorted(map(tuple, dm.read_dimension(spark, folder, "dim", ["id", "a", "b"]).collect()))
     assert got == [("1", "x3", "y"), ("2", "q'uote", None)]
-    st.compact_dimension(spark, folder, "dim", ["id", "a", "b"], folder + "-compact")
-    again = st.read_dimension(spark, folder + "-compact", "dim", ["id", "a", "b"])
-    assert sorted(map(tuple, again.collect())) == got
+
+
+def test_a_batch_that_fails_before_its_switch_runs_again(spark, folder, monkeypatch):
+    dm.upsert_batch(_dim_rows(spark, [change("c", after={"id": "1", "a": "x"}, ts=1)]), folder, 0)
+    later = _dim_rows(spark, [change("u", after={"id": "1", "a": "y"}, ts=2),
+                              change("c", after={"id": "2", "a": "z"}, ts=2)])
+
+    def killed(*_):
+        raise OSError("killed")
+
+    def rows():
+        return sorted(map(tuple, dm.read_dimension(spark, folder, "dim", ["id", "a"]).collect()))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(dm, "_switch", killed)
+        with pytest.raises(OSError):
+            dm.upsert_batch(later, folder, 1)
+    assert rows() == [("1", "x")]
+    dm.upsert_batch(later, folder, 1)
+    assert rows() == [("1", "y"), ("2", "z")]
+
+
+def test_readers_do_not_merge_and_old_versions_go(spark, folder):
+    for batch in range(5):
+        dm.upsert_batch(_dim_rows(spark, [
+            change("u", after={"id": str(i), "a": f"{batch}"}, ts=batch) for i in range(batch, 40)]),
+            folder, batch)
+    got = dm.read_dimension(spark, folder, "dim", ["id", "a"])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted((str(i), str(min(i, 4))) for i in range(40))
+    assert sorted(map(tuple, got.collect())) == want
+    dm.vacuum(spark, folder)
+    assert sorted(map(tuple, dm.read_dimension(spark, folder, "dim", ["id", "a"]).collect())) == want
+    left = glob.glob(f"{folder}/rows/sink_table=dim/bucket=*/version=*")
+    assert left and len(left) < 40 * 3 and len(glob.glob(f"{folder}/manifest/version=*")) == 2
+    assert not any(p.endswith("version=0") for p in left)
+
+
+def test_key_that_the_rule_does_not_list_is_kept(spark, folder):
+    rows = _dim_rows(spark, [change("c", after={"id": "1", "name": "a"}, ts=1),
+                             change("c", after={"id": "2", "name": "b"}, ts=1)])
+    pruned = rows.withColumn("sink_pk", F.lit("id")).withColumn(
+        "after", F.map_filter("after", lambda k, _: k == "name"))
+    dm.upsert_batch(pruned, folder, 0)
+    got = dm.read_dimension(spark, folder, "dim", ["id", "name"]).collect()
+    assert sorted(map(tuple, got)) == [("1", "a"), ("2", "b")]
+
+
+def test_current_state_of_a_stream_of_batches(spark, folder):
+    """An older change that comes later neither wins nor brings a deleted row back."""
+    batches = [[change("c", after={"id": "1", "a": "new"}, ts=5), change("d", before={"id": "2"}, ts=5)],
+               [change("c", after={"id": "1", "a": "old"}, ts=1),
+                change("c", after={"id": "2", "a": "old"}, ts=1),
+                change("c", after={"id": "3", "a": None}, ts=1)],
+               [change("d", before={"id": "3"}, ts=2), change("u", after={"id": "4", "b": "x"}, ts=2)]]
+    for i, rows in enumerate(batches):
+        dm.sink_current_state(folder, "id", "place")(changes(spark, rows), i)
+    got = {r.pk: r.row for r in dm.read_current_state(spark, folder).collect()}
+    assert got == {"1": {"id": "1", "a": "new"}, "4": {"id": "4", "b": "x"}}
 
 
 def test_null_set_by_a_later_change_stays(spark, folder):
-    st.upsert_batch(_dim_rows(spark, [change("c", after={"id": "1", "a": "x"}, ts=1),
+    dm.upsert_batch(_dim_rows(spark, [change("c", after={"id": "1", "a": "x"}, ts=1),
                                       change("u", after={"id": "1", "a": None}, ts=2)]), folder, 0)
-    assert [tuple(r) for r in st.read_dimension(spark, folder, "dim", ["id", "a"]).collect()] == [("1", None)]
+    assert [tuple(r) for r in dm.read_dimension(spark, folder, "dim", ["id", "a"]).collect()] == [("1", None)]
 
 
 def test_replacing_keeps_the_newest_version(spark, folder):

@@ -149,7 +149,16 @@ def test_small_is_a_matter_of_bytes(spark):
 
 def test_salts_spread_a_hot_key_of_one_partition(spark):
     rows = spark.range(1000).coalesce(1)
-    assert rows.select(joins.row_salt(16).alias("s")).distinct().count() == 16
+    assert rows.select(joins.row_salt(rows, 16).alias("s")).distinct().count() == 16
+
+
+def test_salts_of_rows_do_not_depend_on_their_order(spark):
+    """Also with a map among the columns; a task that runs again must not deal rows anew."""
+    rows = spark.range(500).select("id", F.create_map(F.lit("k"), F.col("id").cast("string")).alias("m"))
+
+    def salts(df):
+        return {r.id: r.s for r in df.withColumn("s", joins.row_salt(rows, 16)).collect()}
+    assert salts(rows) == salts(rows.repartition(7)) == salts(rows.orderBy(F.desc("id")))
 
 
 def test_product_stats_counts_distinct_orders(spark):

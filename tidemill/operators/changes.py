@@ -100,7 +100,7 @@ def route_by_rule(changes: DataFrame, rules: DataFrame,
     if is_small(picked, max_broadcast_bytes):
         picked = F.broadcast(picked)
     else:
-        changes = changes.withColumn("_salt", row_salt(salts))
+        changes = changes.withColumn("_salt", row_salt(changes, salts))
         picked = picked.withColumn("_rule_salt", F.explode(
             F.sequence(F.lit(0), F.lit(salts - 1))))
         on = on & (F.col("_salt") == F.col("_rule_salt"))

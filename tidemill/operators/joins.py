@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField
 
 _MICROS = timedelta(microseconds=1)
 
@@ -36,7 +37,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_bucket") == F.col("_right_bucket"))
     if salts > 1:
         left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        right = right.withColumn("_right_salt", row_salt(salts))
+        right = right.withColumn("_right_salt", row_salt(right, salts))
         on = on & (F.col("_salt") == F.col("_right_salt"))
     after = F.col(right_time) >= shifted(lower) if lower_inclusive \
         else F.col(right_time) > shifted(lower)
@@ -48,9 +49,14 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     )
 
 
-def row_salt(salts: int) -> Column:
-    """A salt that differs from row to row, also within one partition."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+def row_salt(df: DataFrame, salts: int) -> Column:
+    """A salt by a hash of all the row's columns: it differs from row to row, and a task that runs
+    again gives every row the salt that it had. Only exact copies of a row share one."""
+    def hashed(field: StructField) -> Column:
+        kind = field.dataType.simpleString()
+        plain = "map<" not in kind and "variant" not in kind
+        return F.col(f"`{field.name}`") if plain else F.to_json(F.struct(F.col(f"`{field.name}`")))
+    return F.pmod(F.xxhash64(*map(hashed, df.schema.fields)), F.lit(salts)).cast("int")
 
 
 def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str | Column],
@@ -59,9 +65,10 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
     """Left lookup: add ``attributes`` (output name -> dimension column) for ``key``.
 
     Rows without a match keep null attributes; repeated dimension keys never multiply rows
-    (the greatest row wins). A dimension whose text was measured to be small is broadcast; the
-    result does not depend on it. A larger one is joined by key and salt: each row takes one of ``salts``, the dimension is shown to all,
-    so a hot key, and the rows with a null key, spread over that many tasks.
+    (the greatest row wins). A dimension that was measured to be small is broadcast; the
+    result does not depend on it. A larger one is joined by key and salt: each row takes one
+    of ``salts``, the dimension is shown to all, so a hot key, and the rows with a null key,
+    spread over that many tasks.
     """
     base = df.drop(*attributes)
     picked = (
@@ -75,7 +82,7 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
     if is_small(picked, max_broadcast_bytes):
         picked = F.broadcast(picked)
     elif salts > 1:
-        base = base.withColumn("_salt", row_salt(salts))
+        base = base.withColumn("_salt", row_salt(base, salts))
         picked = picked.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = on & (F.col("_salt") == F.col("_dim_salt"))
     joined = base.join(picked, on, "left")
@@ -87,6 +94,14 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
 
 
 def is_small(df: DataFrame, max_bytes: int) -> bool:
-    """Whether the rows of ``df`` as text take at most ``max_bytes``; one pass over them."""
-    size = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+    """Whether the rows of ``df`` take at most ``max_bytes``; one pass over them. Texts are
+    measured, simple columns count 16 bytes, others are printed to be measured."""
+    def size(field: StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        if "<" in field.dataType.simpleString():
+            return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        return F.lit(16)
+    total = sum(map(size, df.schema.fields), F.lit(0))
+    return (df.agg(F.sum(total)).first()[0] or 0) <= max_bytes

@@ -19,13 +19,19 @@ def _as_text(kind: DataType) -> DataType:
 
 
 def is_one_object(value: str) -> Column:
-    """The text is exactly one JSON object. A parser stops after the first value, so the text
-    must be the one element of an array and the one value of an object: what closes the one
-    early breaks the other."""
-    inside = F.expr(f"try_variant_get(try_parse_json(concat('[', {value}, ']')), '$', 'array<variant>')")
-    wrapped = F.expr(f"try_parse_json(concat('{{\"r\":', {value}, '}}'))")
-    return (F.coalesce(F.size(inside), F.lit(0)) == 1) & F.try_variant_get(
-        wrapped, "$.r", "map<string,variant>").isNotNull()
+    """The text is exactly one JSON object, decided by one parse.
+
+    A parser stops after the first value, so the text is put between brackets, and what follows
+    it is a key that no text can hold: its own hash. The text must be the one element of its
+    array, and the key must be there: a text that closes the array early either leaves more
+    elements or keys, or ends the value before that key.
+    """
+    key = F.concat(F.lit("h"), F.hex(F.xxhash64(value)))
+    text = F.concat(F.lit('{"r":['), F.col(value), F.lit('],"'), key, F.lit('":[]}'))
+    parts = F.try_variant_get(F.try_parse_json(text), "$", "map<string,array<variant>>")
+    inside = F.try_element_at(parts, F.lit("r"))
+    return ((F.size(parts) == 2) & F.map_contains_key(parts, key) & (F.size(inside) == 1)
+            & F.try_variant_get(F.get(inside, F.lit(0)), "$", "map<string,variant>").isNotNull())
 
 
 def parse_lines(df: DataFrame, schema: str, value: str = "value") -> DataFrame:

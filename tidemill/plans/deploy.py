@@ -18,7 +18,7 @@ from tidemill import schemas
 from tidemill.functions.records import fields_of
 from tidemill.operators.logs import parse_lines
 from tidemill.plans import jobs
-from tidemill.sinks import tables, topics as sinks
+from tidemill.sinks import dimensions, tables, topics as sinks
 from tidemill.sources.changes import change_envelopes, rule_table
 from tidemill.sources.topics import Topics, read_records, read_topic, starting_options, with_place
 from tidemill.streaming.run import stream_settings, start_per_batch
@@ -82,7 +82,7 @@ class Place:
         return self.spark.read.schema("value INT").json(folder).first().value
 
     def looked_up(self) -> dict[str, DataFrame]:
-        return {name: tables.read_dimension(self.spark, self.dimensions, name, columns)
+        return {name: dimensions.read_dimension(self.spark, self.dimensions, name, columns)
                 for name, columns in DIMENSIONS.items()}
 
     def to_topic(self, df: DataFrame, topic: str, job: str) -> StreamingQuery:
@@ -118,12 +118,8 @@ def cdc_ods(at: Place) -> StreamingQuery:
 
 
 def compact(at: Place) -> None:
-    """Merge each dimension's changes into one batch of a new folder beside them, to switch to
-    while ``base_db`` is stopped."""
-    for name, columns in DIMENSIONS.items():
-        if tables.exists(at.spark, f"{at.dimensions}/sink_table={name}"):
-            tables.compact_dimension(at.spark, at.dimensions, name, columns,
-                                     f"{at.state}/compacted/{name}")
+    """Delete what newer versions of the dimensions' buckets have replaced."""
+    dimensions.vacuum(at.spark, at.dimensions)
 
 
 def base_db(at: Place) -> StreamingQuery:
@@ -137,7 +133,7 @@ def base_db(at: Place) -> StreamingQuery:
         parsed = parse_lines(batch, schemas.CHANGE).persist()
         try:
             out = jobs.base_db_outputs(parsed, batch.columns, rules)
-            tables.upsert_batch(out["dimensions"], at.dimensions, batch_id, "place")
+            dimensions.upsert_batch(out["dimensions"], at.dimensions, batch_id, "place")
             sinks.sink_topic_by_row(out["topics"], at.topics, origin=FROM_DB)
             sinks.sink_lines(out["dirty"].withColumn("topic", F.lit(DIRTY_DB)), at.topics,
                              DIRTY_DB)

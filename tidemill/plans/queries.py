@@ -17,7 +17,7 @@ from tidemill.operators import changes as ch
 from tidemill.operators import joins, logs as lg, orders as od, products, stats, visits
 from tidemill.plans import jobs, tables as t
 from tidemill.session import work_folder
-from tidemill.sinks import tables as sink_tables, topics as sink_topics
+from tidemill.sinks import dimensions, tables as sink_tables, topics as sink_topics
 from tidemill.sources import changes as src_changes, lines as src_lines, topics as src_topics
 from tidemill.streaming import run, state
 
@@ -264,11 +264,29 @@ def cdc_changelog_view(spark, sf):
         "event_id", "row_kind", F.col("row")["user_id"].alias("id"), F.col("row")["k"].alias("k"))
 
 
-@query("cdc_current_state", f"""
+CURRENT_STATE = f"""
     WITH {CHANGES}, placed AS (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY ts_ms DESC, event_id DESC) AS place FROM chg)
     SELECT CAST(user_id AS VARCHAR) AS pk, k, CAST(event_id AS VARCHAR) AS event_id
-    FROM placed WHERE place = 1 AND op <> 'd'""")
+    FROM placed WHERE place = 1 AND op <> 'd'"""
+
+
+@query("stream_cdc_current_state", CURRENT_STATE)
+def stream_cdc_current_state(spark, sf):
+    """The whole table in three micro-batches with a restart after each; which of them a change is
+    in does not depend on its time, so many changes come after newer ones."""
+    events, folder = _events(spark, sf), work_folder(spark, "state")
+    for part in range(3):
+        events.where(F.pmod("event_id", F.lit(3)) == part).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        run.start_per_batch(
+            t.changes(stream), dimensions.sink_current_state(f"{folder}/out", "user_id", "event_id"),
+            f"{folder}/checkpoint").awaitTermination()
+    return dimensions.read_current_state(spark, f"{folder}/out").select(
+        "pk", F.col("row")["k"].alias("k"), F.col("row")["event_id"].alias("event_id"))
+
+
+@query("cdc_current_state", CURRENT_STATE)
 def cdc_current_state(spark, sf):
     return ch.current_state(t.changes(_events(spark, sf)), "user_id", ["ts_ms", "event_id"]).select(
         "pk", F.col("row")["k"].alias("k"), F.col("row")["event_id"].alias("event_id"))
@@ -357,9 +375,9 @@ def sink_dim_upsert(spark, sf):
     folder = work_folder(spark, "dims")
     changes = t.changes(t.table_stream(spark, sf, "events"))
     routed = ch.to_dimensions(ch.route_by_rule(ch.drop_deletes(changes), t.rules(spark)))
-    run.start_per_batch(routed, sink_tables.sink_dim_upsert(f"{folder}/out", "event_id"),
+    run.start_per_batch(routed, dimensions.sink_dim_upsert(f"{folder}/out", "event_id"),
                         f"{folder}/checkpoint").awaitTermination()
-    return sink_tables.read_dimension(spark, f"{folder}/out", "dim_user",
+    return dimensions.read_dimension(spark, f"{folder}/out", "dim_user",
                                       ["user_id", "k", "event_id"])
 
 
@@ -1177,7 +1195,9 @@ def _in_rounds(spark: SparkSession, inputs: dict[str, DataFrame], sentinel: dict
     for i in range(rounds + 1):
         low = ends.low + i * step
         for name, df in inputs.items():
-            part = (df.where((F.col("ts") >= low) & (F.col("ts") < low + step)) if i < rounds else
+            here = (F.col("ts") >= low) & (F.col("ts") < low + step)
+            here = here | F.col("ts").isNull() if i == 0 else here
+            part = (df.where(here) if i < rounds else
                     df.limit(1).withColumn("ts", F.lit(ends.high + 100 * DAY_MS))
                     .withColumns(sentinel))
             part.write.mode("append").parquet(f"{folder}/{name}")

@@ -1,13 +1,12 @@
-"""Dimension tables, report tables and databases."""
+"""Report tables and databases, and the merge of changes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.operators.visits import first_per
 
+
 def _replace_partitions(rows: DataFrame, folder: str, by: list[str]) -> None:
     """Overwrite only the partitions present in ``rows``; even files, also for a hot one."""
     (
@@ -17,38 +16,6 @@ def _replace_partitions(rows: DataFrame, folder: str, by: list[str]) -> None:
     )
 
 
-def upsert_batch(routed: DataFrame, folder: str, batch_id: int, place: str | None = None) -> None:
-    """Write one batch of routed dimension changes below ``folder/sink_table=…/batch_id=…``.
-
-    Rewriting the same batch replaces its own partitions only, so a repeated batch changes
-    nothing. The cost of a batch depends on its changes, not on the size of the dimension.
-    ``place`` names a BIGINT column that orders changes of one batch with equal ``ts_ms``.
-    """
-    rows = routed.select(
-        "pk", "after", "ts_ms",
-        (F.col(place) if place else F.lit(0)).cast("bigint").alias("place"),
-        "sink_table", F.lit(batch_id).alias("batch_id"))
-    _replace_partitions(rows, folder, ["sink_table", "batch_id"])
-
-
-def sink_dim_upsert(folder: str, place: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that upserts routed changes into dimension tables."""
-    return lambda batch, batch_id: upsert_batch(batch, folder, batch_id, place)
-
-
-def read_dimension(spark: SparkSession, folder: str, table: str, columns: list[str]) -> DataFrame:
-    """The dimension as text columns: per key and column, the value of the last change that
-    carried the column (nulls included). One grouped pass, combined before its shuffle. A table
-    that was never written is empty."""
-    schema = ("pk STRING, after MAP<STRING, STRING>, ts_ms BIGINT, place BIGINT, "
-              "sink_table STRING, batch_id BIGINT")
-    if not exists(spark, folder):
-        return merge_changes(spark.createDataFrame([], schema), columns,
-                             ["ts_ms", "batch_id", "place"])
-    changes = spark.read.schema(schema).parquet(folder).where(F.col("sink_table") == table)
-    return merge_changes(changes, columns, ["ts_ms", "batch_id", "place"])
-
-
 def exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -63,19 +30,6 @@ def merge_changes(changes: DataFrame, columns: list[str], order: list[str]) -> D
     return changes.groupBy("pk").agg(*[last(c) for c in columns]).select(*columns)
 
 
-def compact_dimension(spark: SparkSession, folder: str, table: str, columns: list[str],
-                      target: str) -> None:
-    """Write the merged dimension as batch 0 of a new folder, for readers to switch to."""
-    pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
-    merged = read_dimension(spark, folder, table, columns)
-    (
-        merged.select(F.col(columns[0]).alias("pk"), F.create_map(*pairs).alias("after"),
-                      F.lit(0).cast("bigint").alias("ts_ms"),
-                      F.lit(0).cast("bigint").alias("place"), F.lit(table).alias("sink_table"), F.lit(0).alias("batch_id"))
-        .write.mode("overwrite").partitionBy("sink_table", "batch_id").parquet(target)
-    )
-
-
 def without(df: DataFrame, transient: list[str]) -> DataFrame:
     """The columns a positional insert binds: all but the marked ones."""
     return df.drop(*transient)

@@ -186,23 +186,33 @@ def user_jump_stream(pages: DataFrame, order: str, gap_ms: int = 10_000,
     return jumps.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
 
 
+#: Shards of devices in the state of ``unique_visit_stream``.
+VISIT_SHARDS = 64
+_DEVICE_TYPE = StructType([StructField("device", StringType())])
+
+
 class _FirstOfDay(StatefulProcessor):
-    """Passes the earliest row of the first micro-batch that has rows of a device and day. The
-    state, one boolean, goes when the watermark passes the day."""
+    """Passes, for the devices of a shard, the earliest row of the first micro-batch that has rows
+    of a device on the day. The state, a map of devices, goes when the watermark passes the day."""
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._seen = handle.getValueState("seen", _FLAG_TYPE)
+        self._seen = handle.getMapState("seen", _DEVICE_TYPE, _FLAG_TYPE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         parts = list(rows)
-        if not parts or self._seen.exists():
+        if not parts:
             return
         part = pd.concat(parts, ignore_index=True)
-        self._seen.update((True,))
+        firsts = part.iloc[_nulls_first(part)].drop_duplicates("device")
+        known = np.array([self._seen.containsKey((d,)) for d in firsts["device"]], bool)
+        if known.all():
+            return
+        for device in firsts["device"][~known]:
+            self._seen.updateValue((device,), (True,))
         self._handle.registerTimer(max(int(key[1]) + 86_400_000,
                                        timerValues.getCurrentWatermarkInMs() + 1))
-        yield part.iloc[_nulls_first(part)[:1]][["body"]]
+        yield firsts[~known][["body"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._seen.clear()
@@ -213,13 +223,14 @@ class _FirstOfDay(StatefulProcessor):
 
 
 def unique_visit_stream(pages: DataFrame, order: str, device: str = "common.mid",
-                        delay: str = "1 day") -> DataFrame:
+                        delay: str = "1 day", shards: int = VISIT_SHARDS) -> DataFrame:
     """Stream form of ``unique_visit``: the first session-entry row per device and day.
 
     Within a micro-batch the earliest by (``ts``, ``order``) is first. Before the shuffle each
     Arrow batch keeps only its earliest row per device and day, so a hot device reaches its state
-    as a few rows. A day's devices leave the state once the watermark, ``delay`` behind, passes
-    its end.
+    as a few rows. State is kept per shard of devices and day, so many devices make few calls; a
+    day's devices leave it once the watermark, ``delay`` behind, passes the day's end. ``shards``
+    is part of the state's keys and must stay the same for one checkpoint.
     """
     day = F.unix_millis(F.date_trunc("day", F.timestamp_millis(F.col("ts"))))
     device_name = F.coalesce(F.concat(F.lit("="), F.col(device)), F.lit(""))
@@ -231,6 +242,7 @@ def unique_visit_stream(pages: DataFrame, order: str, device: str = "common.mid"
         .where(_earliest_of_batch(F.concat_ws(" ", "day", "device"), "ts", "place"))
         .withWatermark("time", delay)
     )
-    firsts = packed.groupBy("device", "day").transformWithStateInPandas(
+    firsts = packed.withColumn("_shard", F.pmod(F.xxhash64("device"), F.lit(shards))).groupBy(
+        "_shard", "day").transformWithStateInPandas(
         _FirstOfDay(), "body STRING", outputMode="Append", timeMode="EventTime")
     return firsts.select(F.from_json("body", pages.schema).alias("r")).select("r.*")
