@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +8,7 @@ from samples import display, page, pages, split_evenly, stream_of
 from tidemill.operators import joins, logs as lg, products, stats, visits
 from tidemill.plans import deploy, jobs
 from tidemill.sources.topics import Topics
-from tidemill.streaming import run, state
+from tidemill.streaming import lookups, run, state
 
 BASE = 1_699_920_000_000  # 2023-11-14; a stream's first watermark is 1970-01-01
 LATE = page("sentinel", BASE + 10_000_000_000, place=10_000)
@@ -271,3 +271,55 @@ def test_database_jobs_end_to_end(spark, folder):
     assert sum(r.paid_order_ct for r in got) == 1
     province = spark.read.parquet(f"{folder}/state/reports/province_stats").where("province_id = 5").first()
     assert (province.order_count, str(province.order_amount)) == (1, "7.00")
+
+
+FACT, VERSION = "id LONG, k STRING, time TIMESTAMP, name STRING, price DECIMAL(16,2)", \
+    "id STRING, name STRING, seen TIMESTAMP, v LONG"
+SEEN = datetime(2024, 5, 1, 1, 2, 3, 456_789)
+
+
+def waiting_rounds(spark, folder, rounds, salts=2):
+    """What a waiting lookup has written after each round of facts and versions."""
+    def at(seconds):
+        return None if seconds is None else datetime(2024, 1, 1) + timedelta(seconds=seconds)
+
+    seen = []
+    for facts, versions in rounds:
+        spark.createDataFrame([(i, k, at(s), "own", None) for i, k, s in facts], FACT).coalesce(
+            1).write.mode("append").parquet(f"{folder}/facts")
+        spark.createDataFrame([(i, n, SEEN, v) for i, n, v in versions], VERSION).coalesce(
+            1).write.mode("append").parquet(f"{folder}/versions")
+        joined = lookups.dim_join_stream(
+            spark.readStream.schema(FACT).parquet(f"{folder}/facts"),
+            spark.readStream.schema(VERSION).parquet(f"{folder}/versions"),
+            "k", {"name": "name", "seen": "seen"}, "time", timedelta(seconds=60), "v", salts=salts)
+        run.start_to_files(joined, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        rows = spark.read.parquet(f"{folder}/out").collect()
+        assert all((r.seen == SEEN) == (r.name is not None) for r in rows)
+        seen.append(sorted((r.id, r.name) for r in rows))
+    return seen
+
+
+def test_lookup_waits_for_its_dimension(spark, folder):
+    seen = waiting_rounds(spark, folder, [
+        ([(1, "a", 0), (2, "b", 1), (3, None, 2), (4, "b", 1), (4, "b", 1)], []),
+        ([(5, "a", 3)], [("a", "A1", 5), ("a", "A0", 4), (None, "none", 9), ("b", None, None)]),
+        ([(6, "a", 20), (7, "b", 100)], [("a", "old", 1), ("a", "A2", 6)]),
+        ([(8, "a", 0), (9, "c", 150), (10, "c", None)], [("b", "B", 1)]),
+        ([(11, "z", 1000)], [])])
+    assert seen[0] == [(3, None)]                                    # the others wait
+    assert seen[1] == [(1, "A1"), (3, None), (5, "A1")]              # their dimension has come
+    assert seen[2] == sorted([*seen[1], (2, None), (4, None), (4, None), (6, "A1")],
+                             key=lambda r: r[0])                     # waited too long
+    assert seen[3] == [*seen[2], (7, "B"), (8, "A2"), (10, None)]    # late rows are not lost
+    assert seen[4] == [*seen[3][:-1], (9, None), (10, None)]         # 11 still waits
+
+
+def test_lookup_stream_equals_batch_under_skew(spark, folder):
+    rng = random.Random(5)
+    facts = [(i, "hot" if rng.random() < 0.4 else f"k{rng.randrange(8)}", i // 10) for i in range(300)]
+    versions = [("hot", "H", 1), *[(f"k{i}", f"K{i}", 1) for i in range(5)]]
+    seen = waiting_rounds(spark, folder, [(facts[:150], []), (facts[150:], versions),
+                                          ([(-1, None, 10_000)], [])], salts=4)
+    names = {k: n for k, n, _ in versions}
+    assert [r for r in seen[-1] if r[0] >= 0] == sorted((i, names.get(k)) for i, k, _ in facts)

@@ -19,7 +19,7 @@ from tidemill.plans import jobs, tables as t
 from tidemill.session import work_folder
 from tidemill.sinks import dimensions, tables as sink_tables, topics as sink_topics
 from tidemill.sources import changes as src_changes, lines as src_lines, topics as src_topics
-from tidemill.streaming import run, state
+from tidemill.streaming import lookups, run, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1220,6 +1220,46 @@ def stream_visitor_stats(spark, sf):
         lambda *streams: jobs.job_visitor_stats(*streams, width="1 hour"), "visitors")
 
 
+WAITS, WAIT_DAYS = "TIMESTAMP '1995-01-01 00:00:00'", 64
+
+
+@query("stream_dim_join", f"""
+    WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, epoch_us(CAST(l_shipdate AS TIMESTAMP)) // 1000 AS ms,
+                      l_shipdate < {WAITS} AS early FROM lineitem),
+    ends AS (SELECT *, ceil((ms + {WAIT_DAYS * DAY_MS}) / {WAIT_DAYS // 8 * DAY_MS}.0)
+                       * {WAIT_DAYS // 8 * DAY_MS} AS due,
+                    (SELECT max(ms) FROM l WHERE early) AS reached FROM l)
+    SELECT l_orderkey AS id, l_linenumber AS line, s_name AS supplier_name,
+           CAST(s_nationkey AS BIGINT) AS nation_id
+    FROM ends LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_nationkey > 4
+        AND NOT (early AND due <= reached)""")
+def stream_dim_join(spark, sf):
+    """Lines shipped before 1995 come first and wait for their suppliers, who come in the second
+    round; those that have waited too long by then, and those of missing suppliers, get none."""
+    lines = t.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), "l_suppkey",
+        F.col("l_shipdate").cast("timestamp").alias("time"))
+    suppliers = t.table(spark, sf, "supplier").where("s_nationkey > 4").select(
+        "s_suppkey", "s_name", "s_nationkey", F.lit(1).cast("long").alias("version"))
+    end = lines.limit(1).select(
+        F.lit(-1).cast(lines.schema["id"].dataType).alias("id"), "line",
+        F.lit(None).cast(lines.schema["l_suppkey"].dataType).alias("l_suppkey"),
+        F.expr("TIMESTAMP '2100-01-01 00:00:00'").alias("time"))
+    early = F.coalesce(F.col("time") < F.expr(WAITS), F.lit(False))
+    folder = work_folder(spark, "waiting")
+    for facts, versions in ((lines.where(early), suppliers.where("false")),
+                            (lines.where(~early), suppliers), (end, suppliers.where("false"))):
+        facts.write.mode("append").parquet(f"{folder}/lines")
+        versions.write.mode("append").parquet(f"{folder}/suppliers")
+        joined = lookups.dim_join_stream(
+            spark.readStream.schema(lines.schema).parquet(f"{folder}/lines"),
+            spark.readStream.schema(suppliers.schema).parquet(f"{folder}/suppliers"),
+            "l_suppkey", {"supplier_name": "s_name", "nation_id": F.col("s_nationkey").cast("bigint")},
+            "time", timedelta(days=WAIT_DAYS), "version", dim_key="s_suppkey", salts=2)
+        run.start_to_files(joined, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").where("id >= 0").drop("l_suppkey", "time")
+
+
 @query("stream_product_stats", f"WITH {PRODUCT_UNION} {PRODUCT_GROUP}")
 def stream_product_stats(spark, sf):
     """Distinct orders in a stream over the rows of all branches: two grouped steps, no sets in
