@@ -1,13 +1,16 @@
+import json
 import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from samples import display, page, pages, split_evenly, stream_of
 from tidemill.operators import joins, logs as lg, products, stats, visits
 from tidemill.plans import deploy, jobs
-from tidemill.sources.topics import Topics
+from tidemill.sinks import committed, dimensions
+from tidemill.sources.topics import Topics, read_topic
 from tidemill.streaming import lookups, run, state
 
 BASE = 1_699_920_000_000  # 2023-11-14; a stream's first watermark is 1970-01-01
@@ -224,8 +227,6 @@ def test_visitor_job_counts_bounces_published_late(spark, folder, order):
 
 
 def test_database_jobs_end_to_end(spark, folder):
-    import json
-
     topics = Topics(folder=f"{folder}/topics")
 
     def change(table, after, op="c", ts=1):
@@ -254,9 +255,10 @@ def test_database_jobs_end_to_end(spark, folder):
         change("payment_info", {"id": "70", "order_id": "1", "total_amount": "7.00", "create_time": "2024-01-01 00:05:00"}),
         change("payment_info", {"id": "71", "order_id": "9", "create_time": late}),
         change("order_info", {"id": "1"}, "d"), change("unruled", {"id": "1"}), "broken"])
-    for topic in ("dwd_cart_info", "dwd_favor_info", "dwd_order_refund_info", "dwd_comment_info"):
-        spark.createDataFrame([('{"sku_id":"3","create_time":"2024-01-01 00:00:11","appraise":"1201","order_id":"1","refund_amount":"1.25"}', topic)],
-                              "value STRING, topic STRING").write.mode("append").partitionBy("topic").text(topics.path("base_db"))
+    others = ("dwd_cart_info", "dwd_favor_info", "dwd_order_refund_info", "dwd_comment_info")
+    for i, topic in enumerate(others):
+        committed.write_batch(spark.createDataFrame([('{"sku_id":"3","create_time":"2024-01-01 00:00:11","appraise":"1201","order_id":"1","refund_amount":"1.25"}', topic)],
+                              "value STRING, topic STRING"), topics.path("base_db"), 1000 + i)
     log = pages(spark, [page("m", 1704067211000, page_id="good_detail", item="3", item_type="sku_id")])
     log.select(F.to_json(F.struct("common", "page", "displays", "ts"))).write.text(topics.path("ods_base_log"))
     at = deploy.Place(spark, topics, f"{folder}/state", once=True)
@@ -273,6 +275,110 @@ def test_database_jobs_end_to_end(spark, folder):
     assert (province.order_count, str(province.order_amount)) == (1, "7.00")
 
 
+def fails_once(monkeypatch, module, name, after):
+    """Let a function fail the first time it is called, before or after it has done its work."""
+    real, calls = getattr(module, name), []
+
+    def broken(*args, **kwargs):
+        calls.append(1)
+        if len(calls) > 1:
+            return real(*args, **kwargs)
+        if after:
+            real(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, name, broken)
+    return calls
+
+
+def database_lines(spark, folder):
+    def change(table, after, ts):
+        return json.dumps({"op": "c", "source": {"db": "shop", "table": table}, "after": after, "ts_ms": ts})
+
+    def rules(sink, ts):
+        return [change("table_process", {"sourceTable": source, "operateType": "c", "sinkType": kind,
+                                         "sinkTable": sink + name, "sinkColumns": "id,name"}, ts)
+                for source, kind, name in (("order_info", "kafka", "orders"), ("sku_info", "hbase", "skus"))]
+
+    _lines(spark, f"{folder}/state/rules", rules("old_", 1))
+    _lines(spark, f"{folder}/topics/ods_base_db", [
+        *[change("order_info", {"id": str(i), "name": "same"}, i) for i in (1, 2, 3, 3)],
+        change("sku_info", {"id": "7", "name": "n"}, 5), "broken", "broken"])
+    return rules
+
+
+@pytest.mark.parametrize("module, name, after", [
+    (dimensions, "upsert_batch", False), (dimensions, "upsert_batch", True),
+    (committed, "stage_batch", True), (committed, "commit_batch", True),
+    (deploy.sinks, "sink_lines", True)])
+def test_a_failed_batch_leaves_its_lines_once(spark, folder, monkeypatch, module, name, after):
+    """The batch fails at some write, a rule is replaced, and it runs again: equal lines of one
+    batch stay, none is there twice, and all of them follow the rules of the first attempt."""
+    rules = database_lines(spark, folder)
+    topics = Topics(folder=f"{folder}/topics")
+    at = deploy.Place(spark, topics, f"{folder}/state", once=True)
+    calls = fails_once(monkeypatch, module, name, after)
+    starts = []
+
+    def start():
+        if starts:
+            _lines(spark, f"{folder}/state/rules", rules("new_", 9))
+        starts.append(1)
+        return deploy.JOBS["base_db"](at)
+
+    run.supervise(start, pause=0.1)
+    assert len(starts) == 2 and calls
+    lines = read_topic(spark, topics, "old_orders", False, origin="base_db", by_batch=True)
+    assert sorted(json.loads(r.value)["id"] for r in lines.collect()) == ["1", "2", "3", "3"]
+    assert read_topic(spark, topics, "new_orders", False, origin="base_db", by_batch=True).isEmpty()
+    assert read_topic(spark, topics, deploy.DIRTY_DB, False, origin=deploy.DIRTY_DB,
+                      by_batch=True).count() == 2
+    held = {t: dimensions.read_dimension(spark, at.dimensions, t, ["id", "name"]).collect()
+            for t in ("old_skus", "new_skus")}
+    assert [tuple(r) for r in held["old_skus"]] == [("7", "n")] and held["new_skus"] == []
+    _lines(spark, topics.path("ods_base_db"), [json.dumps(
+        {"op": "c", "source": {"db": "shop", "table": "order_info"}, "after": {"id": "8"}, "ts_ms": 10})])
+    start().awaitTermination()
+    new = read_topic(spark, topics, "new_orders", False, origin="base_db", by_batch=True)
+    assert [json.loads(r.value)["id"] for r in new.collect()] == ["8"]
+
+
+def test_readers_see_committed_batches_only(spark, folder):
+    topics = Topics(folder=folder)
+    lines = spark.createDataFrame([("a", "x"), ("b", "y")], "value STRING, topic STRING")
+    committed.write_batch(lines, topics.path("o"), 0)
+    committed.stage_batch(lines, topics.path("o"), 1)
+
+    def seen():
+        stream = read_topic(spark, topics, "x", origin="o", by_batch=True)
+        run.start_to_files(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        return (spark.read.parquet(f"{folder}/out").count(),
+                read_topic(spark, topics, "x", False, origin="o", by_batch=True).count())
+
+    assert seen() == (1, 1)
+    committed.write_batch(lines, topics.path("o"), 1)
+    committed.write_batch(lines.limit(0), topics.path("o"), 2)
+    committed.write_batch(lines, topics.path("o"), 1)
+    assert seen() == (2, 2)
+
+
+def test_supervision_ends_after_three_restarts(spark, folder):
+    rows = spark.createDataFrame([("a",)], "value STRING")
+    rows.write.text(f"{folder}/in")
+    starts = []
+
+    def start():
+        def fail(batch, batch_id):
+            raise RuntimeError("always")
+
+        starts.append(1)
+        return run.start_per_batch(spark.readStream.text(f"{folder}/in"), fail, f"{folder}/checkpoint")
+
+    with pytest.raises(StreamingQueryException):
+        run.supervise(start, pause=0)
+    assert len(starts) == 4
+
+
 FACT, VERSION = "id LONG, k STRING, time TIMESTAMP, name STRING, price DECIMAL(16,2)", \
     "id STRING, name STRING, seen TIMESTAMP, v LONG"
 SEEN = datetime(2024, 5, 1, 1, 2, 3, 456_789)

@@ -2,7 +2,8 @@
 
 ``python -m tidemill.plans.deploy base_log --folder /shared/topics --state /shared/state``
 reads and writes topics as text folders; ``--servers host:9092`` uses Kafka instead. ``--once``
-processes what there is and ends. A job that stops is started again with the same ``--state``.
+processes what there is and ends. A job that fails is started again up to three times; one that
+has stopped goes on with the same ``--state``.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from tidemill import schemas
 from tidemill.functions.records import fields_of
 from tidemill.operators.logs import parse_lines
 from tidemill.plans import jobs
-from tidemill.sinks import dimensions, tables, topics as sinks
+from tidemill.sinks import committed, dimensions, tables, topics as sinks
 from tidemill.sources.changes import change_envelopes, rule_table
 from tidemill.sources.topics import Topics, read_records, read_topic, starting_options, with_place
-from tidemill.streaming.run import stream_settings, start_per_batch
+from tidemill.streaming.run import stream_settings, start_per_batch, supervise
 from tidemill.streaming.state import JUMP_SHARDS, user_jump_stream
 
 # The topics the jobs read and write.
@@ -43,6 +44,8 @@ DIMENSIONS = {
     "dim_base_category3": ["id", "name"],
 }
 FROM_LOG, FROM_DB = "base_log", "base_db"
+#: Origins of topics that micro-batches commit.
+BY_BATCH = (FROM_DB, DIRTY_DB, ORDER_WIDE)
 
 
 @dataclass(frozen=True)
@@ -69,7 +72,7 @@ class Place:
 
     def facts(self, topic: str, schema: str, origin: str | None = FROM_DB) -> DataFrame:
         return read_records(self.spark, self.topics, topic, schema, origin=origin,
-                            starting=self.starting).drop("place")
+                            by_batch=origin in BY_BATCH, starting=self.starting).drop("place")
 
     def lines(self, topic: str, origin: str | None = None) -> DataFrame:
         return read_topic(self.spark, self.topics, topic, origin=origin, starting=self.starting)
@@ -123,20 +126,21 @@ def compact(at: Place) -> None:
 
 
 def base_db(at: Place) -> StreamingQuery:
-    """Routes by the rules as they stand at each micro-batch, read from ``state/rules`` as
-    change lines. Dimension writes are repeatable; topic lines are at-least-once."""
+    """Routes by the rules as they stand at the first attempt of each micro-batch, read from
+    ``state/rules`` as change lines. All three outputs are exactly-once, Kafka at-least-once."""
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{at.state}/rules"
         lines = with_place(at.spark.read.text(folder) if tables.exists(at.spark, folder)
                            else at.spark.createDataFrame([], "value STRING"))
-        rules = rule_table(change_envelopes(lines)[0], ["ts_ms", "place"])
+        rules = committed.pinned(rule_table(change_envelopes(lines)[0], ["ts_ms", "place"]),
+                                 f"{at.state}/rules_of_batch", batch_id)
         parsed = parse_lines(batch, schemas.CHANGE).persist()
         try:
             out = jobs.base_db_outputs(parsed, batch.columns, rules)
             dimensions.upsert_batch(out["dimensions"], at.dimensions, batch_id, "place")
-            sinks.sink_topic_by_row(out["topics"], at.topics, origin=FROM_DB)
+            sinks.sink_topic_by_row(out["topics"], at.topics, origin=FROM_DB, batch_id=batch_id)
             sinks.sink_lines(out["dirty"].withColumn("topic", F.lit(DIRTY_DB)), at.topics,
-                             DIRTY_DB)
+                             DIRTY_DB, batch_id=batch_id)
         finally:
             parsed.unpersist()
 
@@ -157,20 +161,22 @@ def user_jump(at: Place) -> StreamingQuery:
 
 def order_wide(at: Place) -> StreamingQuery:
     """Joins the streams, then looks dimensions up per micro-batch as they stand at that
-    moment. Topic lines are at-least-once."""
+    moment. Topic lines are exactly-once, on Kafka at-least-once."""
     joined = jobs.od.join_order_detail(at.facts(ORDER_INFO, schemas.ORDER_INFO),
                                        at.facts(ORDER_DETAIL, schemas.ORDER_DETAIL),
                                        delay="0 seconds")
 
-    def write(batch: DataFrame, _: int) -> None:
-        sinks.sink_topic(jobs.od.with_dimensions(batch, at.looked_up()), at.topics, ORDER_WIDE)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = sinks.as_json(jobs.od.with_dimensions(batch, at.looked_up()))
+        sinks.sink_lines(lines.withColumn("topic", F.lit(ORDER_WIDE)), at.topics, ORDER_WIDE,
+                         batch_id=batch_id)
 
     return start_per_batch(joined, write, at.checkpoint("order_wide"), at.once)
 
 
 def payment_wide(at: Place) -> StreamingQuery:
     paid = jobs.job_payment_wide(at.facts(PAYMENT, schemas.PAYMENT_INFO),
-                                 at.facts(ORDER_WIDE, schemas.ORDER_WIDE, None))
+                                 at.facts(ORDER_WIDE, schemas.ORDER_WIDE, ORDER_WIDE))
     return at.to_topic(paid, PAYMENT_WIDE, "payment_wide")
 
 
@@ -187,7 +193,8 @@ def product_stats(at: Place) -> StreamingQuery:
                         for c in schemas.PAYMENT_WIDE)
     rows = jobs.products.union_product(
         at.logs(jobs.PAGE, FROM_LOG), at.facts(FAVOR, schemas.CART_OR_FAVOR),
-        at.facts(CART, schemas.CART_OR_FAVOR), at.facts(ORDER_WIDE, schemas.ORDER_WIDE, None),
+        at.facts(CART, schemas.CART_OR_FAVOR),
+        at.facts(ORDER_WIDE, schemas.ORDER_WIDE, ORDER_WIDE),
         at.facts(PAYMENT_WIDE, payment, None), at.facts(REFUND, schemas.REFUND),
         at.facts(COMMENT, schemas.COMMENT))
     return at.to_report(jobs.stats.product_stats(rows), "product_stats",
@@ -195,8 +202,8 @@ def product_stats(at: Place) -> StreamingQuery:
 
 
 def province_stats(at: Place) -> StreamingQuery:
-    return at.to_report(
-        jobs.job_province_stats(at.facts(ORDER_WIDE, schemas.ORDER_WIDE, None)), "province_stats")
+    wide = at.facts(ORDER_WIDE, schemas.ORDER_WIDE, ORDER_WIDE)
+    return at.to_report(jobs.job_province_stats(wide), "province_stats")
 
 
 def keyword_stats(at: Place) -> StreamingQuery:
@@ -231,7 +238,7 @@ def main() -> None:
     if args.job == compact.__name__:
         compact(place)
     else:
-        JOBS[args.job](place).awaitTermination()
+        supervise(lambda: JOBS[args.job](place))
 
 
 if __name__ == "__main__":

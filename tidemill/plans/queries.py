@@ -17,7 +17,7 @@ from tidemill.operators import changes as ch
 from tidemill.operators import joins, logs as lg, orders as od, products, stats, visits
 from tidemill.plans import jobs, tables as t
 from tidemill.session import work_folder
-from tidemill.sinks import dimensions, tables as sink_tables, topics as sink_topics
+from tidemill.sinks import committed, dimensions, tables as sink_tables, topics as sink_topics
 from tidemill.sources import changes as src_changes, lines as src_lines, topics as src_topics
 from tidemill.streaming import lookups, run, state
 
@@ -349,12 +349,15 @@ def sink_topic(spark, sf):
     return src_topics.read_topic(spark, topics, "dwd", streaming=False)
 
 
-@query("sink_topic_by_row", f"""
+BY_ROW = f"""
     WITH {ROUTED}
     SELECT sink_table AS topic, CASE WHEN cols = 'user_id,k'
         THEN '{{"user_id":"' || user_id || '","k":"' || k || '"}}'
         ELSE '{{"user_id":"' || user_id || '","event_id":"' || event_id || '"}}' END AS value
-    FROM routed WHERE sink_type = 'kafka'""")
+    FROM routed WHERE sink_type = 'kafka'"""
+
+
+@query("sink_topic_by_row", BY_ROW)
 def sink_topic_by_row(spark, sf):
     folder = work_folder(spark, "by-row")
     topics = src_topics.Topics(folder=folder)
@@ -365,6 +368,38 @@ def sink_topic_by_row(spark, sf):
     return spark.read.schema("value STRING, topic STRING").text(topics.path("by_row"))
 
 
+@query("sink_topic_by_row_restarted", BY_ROW)
+def sink_topic_by_row_restarted(spark, sf):
+    """The whole table in three micro-batches, committed one by one. The first fails once its lines
+    are written, the second once they are committed; both run again."""
+    events, folder = _events(spark, sf), work_folder(spark, "by-batch")
+    origin, faults = f"{folder}/by_row", {0, 1}
+    for part in range(3):
+        events.where(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(
+            f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(
+        f"{folder}/in")
+    routed = ch.to_topics(ch.route_by_rule(ch.drop_deletes(t.changes(stream)), t.rules(spark)))
+
+    def fail(batch_id: int) -> None:
+        if batch_id in faults:
+            faults.remove(batch_id)
+            raise RuntimeError(f"fault in batch {batch_id}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if committed.in_place(spark, origin, batch_id):
+            return
+        committed.stage_batch(sink_topics.by_row_lines(batch), origin, batch_id)
+        if batch_id == 0:
+            fail(batch_id)
+        committed.commit_batch(spark, origin, batch_id)
+        fail(batch_id)
+
+    run.supervise(lambda: run.start_per_batch(routed, write, f"{folder}/checkpoint"), pause=0)
+    return spark.read.schema("value STRING, batch_id BIGINT, topic STRING").text(origin).drop(
+        "batch_id")
+
+
 @query("sink_dim_upsert", f"""
     WITH {ROUTED}, d AS (SELECT * FROM routed WHERE sink_type = 'hbase')
     SELECT CAST(user_id AS VARCHAR) AS user_id,

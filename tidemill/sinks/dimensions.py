@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemill.sinks.tables import delete, files, rename
+
 #: Buckets of a table that is first written. A batch rewrites the buckets that it touches, so
 #: give a large table that is changed in few places many of them.
 BUCKETS = 32
@@ -22,14 +24,9 @@ _CELL = "STRUCT<ts_ms: BIGINT, batch_id: BIGINT, place: BIGINT, value: STRING>"
 ROWS = f"pk STRING, cells MAP<STRING, {_CELL}>"
 
 
-def _files(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
 def _versions(spark: SparkSession, folder: str) -> list[int]:
     """The manifests in place, oldest first."""
-    fs, path = _files(spark, f"{folder}/manifest")
+    fs, path = files(spark, f"{folder}/manifest")
     if not fs.exists(path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(path)]
@@ -54,10 +51,7 @@ def _switch(spark: SparkSession, folder: str, manifest: dict, version: int) -> N
     new = f"{folder}/manifest/new-{version}"
     spark.createDataFrame([(json.dumps(manifest),)], "value STRING").coalesce(1).write.mode(
         "overwrite").text(new)
-    fs, source = _files(spark, new)
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest/version={version}")
-    if not fs.rename(source, target):
-        raise OSError(f"{new} could not be renamed to {target}")
+    rename(spark, new, f"{folder}/manifest/version={version}")
 
 
 def _read(spark: SparkSession, folder: str, table: str, versions: dict[str, int]) -> DataFrame:
@@ -143,7 +137,7 @@ def vacuum(spark: SparkSession, folder: str, manifests: int = 2) -> None:
     kept = versions[-manifests:]
     named = {(t, b, v) for n in kept for t, held in _manifest(spark, folder, n)["tables"].items()
              for b, v in held.items()}
-    fs, path = _files(spark, f"{folder}/rows/sink_table=*/bucket=*/version=*")
+    fs, path = files(spark, f"{folder}/rows/sink_table=*/bucket=*/version=*")
     for status in fs.globStatus(path) or []:
         place = status.getPath()
         table, bucket, version = (p.getName().split("=", 1)[1] for p in (
@@ -152,7 +146,7 @@ def vacuum(spark: SparkSession, folder: str, manifests: int = 2) -> None:
         if (table, bucket, int(version)) not in named and int(version) <= max(kept, default=-1):
             fs.delete(place, True)
     for old in versions[:-manifests]:
-        fs.delete(_files(spark, f"{folder}/manifest/version={old}")[1], True)
+        delete(spark, f"{folder}/manifest/version={old}")
 
 
 def sink_current_state(folder: str, pk: str, order: str) -> Callable[[DataFrame, int], None]:

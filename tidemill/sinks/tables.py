@@ -16,9 +16,26 @@ def _replace_partitions(rows: DataFrame, folder: str, by: list[str]) -> None:
     )
 
 
-def exists(spark: SparkSession, folder: str) -> bool:
+def files(spark: SparkSession, folder: str):
+    """The file system of a folder, and its path there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    fs, path = files(spark, folder)
+    return fs.exists(path)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = files(spark, source)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    fs, path = files(spark, folder)
+    fs.delete(path, True)
 
 
 def merge_changes(changes: DataFrame, columns: list[str], order: list[str]) -> DataFrame:

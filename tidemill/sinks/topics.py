@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemill.sinks import committed
 from tidemill.sources.topics import Topics
 
 
@@ -18,18 +19,30 @@ def sink_topic(df: DataFrame, topics: Topics, topic: str, checkpoint: str | None
     return _write(as_json(df), topics, topic, None, checkpoint, once)
 
 
+def by_row_lines(routed: DataFrame, default: str = "default_topic") -> DataFrame:
+    return routed.select(F.to_json("after").alias("value"),
+                         F.coalesce("sink_table", F.lit(default)).alias("topic"))
+
+
 def sink_topic_by_row(routed: DataFrame, topics: Topics, checkpoint: str | None = None,
                       once: bool = False, origin: str = "by_row",
-                      default: str = "default_topic") -> StreamingQuery | None:
-    """The ``after`` image of each row to the topic its ``sink_table`` names."""
-    rows = routed.select(F.to_json("after").alias("value"),
-                         F.coalesce("sink_table", F.lit(default)).alias("topic"))
-    return sink_lines(rows, topics, origin, checkpoint, once)
+                      default: str = "default_topic",
+                      batch_id: int | None = None) -> StreamingQuery | None:
+    """The ``after`` image of each row to the topic its ``sink_table`` names; ``batch_id`` as in
+    ``sink_lines``."""
+    return sink_lines(by_row_lines(routed, default), topics, origin, checkpoint, once, batch_id)
 
 
 def sink_lines(lines: DataFrame, topics: Topics, origin: str, checkpoint: str | None = None,
-               once: bool = False) -> StreamingQuery | None:
-    """``topic, value`` lines to their topics; files lie below ``origin``."""
+               once: bool = False, batch_id: int | None = None) -> StreamingQuery | None:
+    """``topic, value`` lines to their topics; files lie below ``origin``.
+
+    Within ``foreachBatch``, ``batch_id`` makes files exactly-once: a batch that runs again leaves
+    its lines once, and they are read with ``by_batch``. Kafka stays at-least-once.
+    """
+    if batch_id is not None and not topics.servers:
+        committed.write_batch(lines, topics.path(origin), batch_id)
+        return None
     return _write(lines, topics, origin, "topic", checkpoint, once)
 
 

@@ -44,10 +44,12 @@ def starting_options(mode: str, timestamp_ms: int | None = None,
 
 def read_topic(spark: SparkSession, topics: Topics, topic: str, streaming: bool = True,
                group: str | None = None, starting: dict[str, str] | None = None,
-               max_files: int | None = None, origin: str | None = None) -> DataFrame:
+               max_files: int | None = None, origin: str | None = None,
+               by_batch: bool = False) -> DataFrame:
     """The lines of a topic as ``value STRING``; Kafka adds topic, partition and offset.
 
-    ``origin`` is, for files, the folder of a writer that spreads rows over several topics.
+    ``origin`` is, for files, the folder of a writer that spreads rows over several topics;
+    ``by_batch`` says that it commits them by micro-batch, of which only whole ones are read.
     """
     reader = spark.readStream if streaming else spark.read
     if topics.servers:
@@ -61,7 +63,8 @@ def read_topic(spark: SparkSession, topics: Topics, topic: str, streaming: bool
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     reader = reader.format("text")
     if origin:
-        return (reader.schema("value STRING, topic STRING").load(topics.path(origin))
+        batch = "batch_id BIGINT, " if by_batch else ""
+        return (reader.schema(f"value STRING, {batch}topic STRING").load(topics.path(origin))
                 .where(F.col("topic") == topic).select("value"))
     return reader.load(topics.path(topic))
 

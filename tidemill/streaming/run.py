@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,6 +60,26 @@ def start_per_batch(df: DataFrame, write: Callable[[DataFrame, int], None], chec
         return writer.start()
 
 
+#: Fixed value: how often a failed query is started again.
+RESTARTS = 3
+
+
+def supervise(start: Callable[[], StreamingQuery], restarts: int = RESTARTS,
+              pause: float = 5.0) -> StreamingQuery:
+    """Run what ``start`` starts to its end. A query that fails is started again from its
+    checkpoint after ``pause`` seconds, at most ``restarts`` times; then its error is raised."""
+    for left in range(restarts, -1, -1):
+        query = start()
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException:
+            if not left:
+                raise
+            time.sleep(pause)
+    return query
+
+
 def side_outputs(split: Callable[[DataFrame], dict[str, DataFrame]],
                  folder: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes several outputs of one pass.
