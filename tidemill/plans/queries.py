@@ -1004,6 +1004,27 @@ def province_stats_sql(spark, sf):
     return stats.province_stats_sql(spark, "order_wide", "7 days").drop("ts")
 
 
+@query("stream_province_stats_sql", PROVINCE_SQL)
+def stream_province_stats_sql(spark, sf):
+    """The report as SQL over a stream of JSON lines, one per order line, in three rounds."""
+    orders = _province_rows(spark, sf).drop("split_total_amount")
+    lines = t.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_extendedprice").cast("decimal(16,2)").alias("split_total_amount"))
+    wide = orders.join(lines, "order_id")
+    texts = wide.select(
+        F.unix_millis(times.text_to_time(F.col("create_time"))).alias("ts"),
+        F.to_json(F.struct(*wide.columns)).alias("value"))
+
+    def build(stream: DataFrame) -> DataFrame:
+        src_topics.json_table(stream, schemas.ORDER_WIDE, times.text_to_time(F.col("create_time")),
+                              "1 second", "order_wide_stream")
+        return stats.province_stats_sql(spark, "order_wide_stream", "7 days").drop("ts")
+
+    return _in_rounds(spark, {"lines": texts},
+                      {"value": F.lit('{"create_time":"2100-01-01 00:00:00"}')}, build, "provinces")
+
+
 WORDS = r"regexp_extract_all(text, '[A-Za-z0-9]+|\p{Han}+')"
 KEYWORD_SQL = f"""
     WITH w AS (SELECT doc_id * 1000 AS ts, unnest({WORDS}) AS keyword FROM documents)
