@@ -193,7 +193,28 @@ def test_base_spans(text):
     ('{"accessKey": "Zx81kQp02Lm"}', ["Zx81kQp02Lm"]),
     ("password = changeme123", []), ('title = "Zx81kQp02Lm"', []), ("password = short", []),
     ('if password == "Zx81kQp02Lm":', []), ("auth_token=${TOKEN}", []),
-    ("The secret: be kind and write well", []), ("=" * 50_000, []), ('x = "' + "\\" * 50_000, [])])
+    ("The secret: be kind and write well", []), ("=" * 50_000, []), ('x = "' + "\\" * 50_000, []),
+    ("private_key = load_key(path)", []), ("client_pwd = settings.DB_PWD_VALUE", []),
+    ("private_key = self.signing_key2", []), ("secret_key=default_secret_value", []),
+    ("connect(secret_key=default_secret_value, user=u)", []), ("pwd = keys[index12]", []),
+    ('client_pwd = K\nK = "Zx81kQp02Lm"', ["Zx81kQp02Lm"]),
+    ('K = "Zx81kQp02Lm"\nK = load()\nclient_pwd = K', []),
+    ('a = b\nb = a\nprivate_key = a', []),
+    ('private_key = """Zx81\nkQp02Lm"""', ["Zx81\nkQp02Lm"]),
+    ("private_key = '''Zx81kQp02Lm'''", ["Zx81kQp02Lm"]),
+    ("const clientPwd = `Zx81kQp02Lm`;", ["Zx81kQp02Lm"]),
+    ('client_pwd = "Zx81k" "Qp02Lm"', ['Zx81k" "Qp02Lm']),
+    ('client_pwd = ("Zx81k"\n    "Qp02Lm")', ['Zx81k"\n    "Qp02Lm']),
+    ('client_pwd: str = "Zx81kQp02Lm"', ["Zx81kQp02Lm"]),
+    ('a:\n  private_key: |\n    Zx81kQp02Lm\n    Qp02LmZx81\n  other: x', ["Zx81kQp02Lm\n    Qp02LmZx81"]),
+    ("private_key: |", []), ("private_key: >\nnext: 1", []),
+    ("<db:password enc='n'> Zx81kQp02Lm </db:password>", ["Zx81kQp02Lm"]),
+    ("<password></password><title>Zx81kQp02Lm</title>", []),
+    ('client_pwd = "Zxxxx81kQp02Lm"', ["Zxxxx81kQp02Lm"]),
+    ('secret_url = "postgres://adm:Zx81kQp02Lm@db.example.org/x"', ["postgres://adm:Zx81kQp02Lm@db.example.org/x"]),
+    ('client_pwd = "your_password_here"', []), ('client_pwd = "xxxx-xxxx-xxxx"', []), ('client_pwd = "********"', []),
+    ("Server=db;Pwd=Zx81kQp02Lm;", ["Zx81kQp02Lm"]), ("pwd=correct-horse-battery", ["correct-horse-battery"]),
+    ("call(pwd=total-offset-width)", []), ("client_pwd=hunter2222", ["hunter2222"]), ('pwd = ""', []), ('pwd = """"""', []), ("pwd = ''''''", [])])
 def test_literals(text, want):
     assert [text[a:b] for a, b in secrets.literals(text)] == want
 
