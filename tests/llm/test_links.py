@@ -68,6 +68,20 @@ def test_one_of_each_group(spark):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_one_of_each_group_with_null_and_repeated_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base + " end", " ".join(f"v{i}" for i in range(60))
+    rows = [(None, "", "en"), (None, "", "de"), (5, None, "en"), (5, None, "en"), (None, base, "en"),
+            (None, near, "de"), (7, other, "fr"), (7, other, "de"), (7, other, None), (7, other + " z", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [tuple(r) for r in minhash.one_of_each_group(docs).collect()]
+    assert sorted(r[2] for r in got if r[1] == "") == ["de", "en"]
+    assert got.count((5, None, "en")) == 2
+    assert sum(r[0] is None and r[1] != "" for r in got) == 1
+    sevens = [r for r in got if r[0] == 7]
+    assert len(sevens) == 1 and sevens[0][2] in (None, "a") and len(got) == 6
+
+
 def test_empty_tables(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -430,11 +431,45 @@ def characters(spark):
 @pytest.mark.parametrize(("written", "plain"), [
     ("1d10t", "idiot"), ("!d!ot", "idiot"), ("idiot!!!", "idiot"), ("m0r0n", "moron"), ("$tup1d", "stupid"),
     ("idiooooot", "idiot"), ("i.d.i.o.t", "idiot"), ("l-o-s-e-r", "loser"), ("cl*wn", "clown"),
-    ("p@thet1c", "pathetic"), ("moron", "moron"), ("2024", "2024"), ("(idiot)", "idiot"), ("", ""), ("!!!", "")])
+    ("p@thet1c", "pathetic"), ("moron", "moron"), ("2024", "2024"), ("(idiot)", "idiot"), ("", ""), ("!!!", ""),
+    ("iiddiioott", "idiot"), ("idi.ot", "idiot"), ("st-upid", "stupid"), ("mo_ron", "moron"), ("m.0-r0n", "moron"),
+    ("you-are", "you are"), ("12.5", "12.5"), ("3-4", "3-4")])
 def test_restored(characters, written, plain):
     assert toxicity.restored(written, characters) == plain
 
 
+@pytest.mark.parametrize("token", ["1d10t", "i.d-iot", "aabb!t", "b00k", "l--oser", "cl*n", "id||t", "looooser", "s$s"])
+@pytest.mark.parametrize("spaced", [False, True])
+def test_decoder_finds_the_best_of_all_paths(characters, token, spaced):
+    runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token)]
+    choices = []
+    for i, (char, length) in enumerate(runs):
+        readings = toxicity._readings(char, length, 0 < i < len(runs) - 1, spaced)
+        choices.append(readings + [(" " + t, c + toxicity.GAP) for t, c in readings if t and spaced and i])
+    best = max(sum(c for _, c in path) + toxicity._likelihood("".join(t for t, _ in path), characters)
+               for path in itertools.product(*choices))
+    text, score = toxicity.best_path(token, characters, spaced)
+    assert abs(score - best) < 1e-9
+
+
+def test_words_in_pieces(characters):
+    known = {f"={w}": 5.0 for w in ("idiot", "stupid", "moron")}
+    evidence = toxicity._Evidence(toxicity.Lexicon(characters, known, np.array([1.0, 0.0, 0.0])))
+    for text in ("you id iot there", "an i  d  i  o  t", "an\ti\td\ti\no\tt !", "st up id", "a m0 r0n",
+                 "idi.ot", "iiddiioott", "stuupid"):
+        assert evidence.features(text)[0] == 5.0, text
+    for text in ("you are an id card", "it is on us", "st. up id", "the idea I got", "", None, "id  " * 1000):
+        assert evidence.features(text)[0] == 0.0, text
+
+
+def test_rows_of_repeated_labelled_ids_are_bounded(spark):
+    docs = spark.createDataFrame([(1, None)] + [(1, f"text {i}") for i in range(500)] + [(2, "b"), (None, "n")],
+                                 "doc_id long, text string")
+    given = labels(spark, [(1, 1, 0), (1, 0, 0), (2, 1, 0)])
+    rows = quality.labelled(docs, given, "quality", 1, 5, 100).collect()
+    assert sorted((r.doc_id, r.text, r.label) for r in rows) == [(1, "text 99", 0), (2, "b", 1)]
+
+
 def test_spaced(characters):
     assert toxicity.decoded("1d10t", characters, spaced=True).replace(" ", "") == "idiot"
     _, stretches = toxicity._distinct("you i d i o t there, a b c")

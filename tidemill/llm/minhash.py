@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemill.llm.components import components
 from tidemill.llm.store import bit_filter, in_filter, removed, stored, written
 from tidemill.llm.words import batches, binaries, each_text, mixed, window_hashes
+from tidemill.operators.visits import first_per
 
 #: 40 bands of 4 minima: two texts of similarity 0.75 share no band with probability 2.5e-7.
 BANDS, ROWS = 40, 4
@@ -294,7 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Result: doc_id, n_shingles, component_id, kept; one row per row.
     """
-    return _grouped(docs).drop("mark")
+    return _grouped(docs).drop("mark", "stays")
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -336,24 +337,35 @@ def _grouped(docs: DataFrame) -> DataFrame:
     grouped = (named.where("key IS NOT NULL").join(
         groups.select(F.col("node").alias("key"), "component"), "key", "left")
         .select("doc_id", "mark", "n_shingles", F.coalesce("component", "key").alias("group")))
-    smallest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    whole = grouped.join(smallest, "group").select("doc_id", "mark", "n_shingles",
-                                                    "component_id")
-    alone = named.where("key IS NULL").select("doc_id", "mark", "n_shingles",
-                                              F.col("doc_id").alias("component_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    smallest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"),
+                                            F.min(place).alias("first"))
+    whole = grouped.join(smallest, "group").select(
+        "doc_id", "mark", "n_shingles", "component_id", place.eqNullSafe(F.col("first")).alias("stays"))
+    alone = named.where("key IS NULL").select(
+        "doc_id", "mark", "n_shingles", F.col("doc_id").alias("component_id"),
+        F.lit(True).alias("stays"))
     return whole.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns; the others are removed by id and text.
+    """One row of each group, with all its columns; rows linked with nothing all stay.
 
-    Equal rows among those that stay are kept once.
+    Of a group the row with the smallest id stays (null after all others), of equal ids the one
+    with the smallest hash of the text, of equal texts the one whose other columns, in their
+    order, come first. The others are removed by id and text.
     """
-    kept = written(_grouped(docs).select("doc_id", "mark", "kept"), "minhash-kept")
-    gone = kept.where("NOT kept").select(F.col("doc_id").alias("gone_id"),
-                                         F.col("mark").alias("gone_mark")).distinct()
+    rows = written(_grouped(docs).select("doc_id", "mark", "n_shingles", "stays"), "minhash-kept")
+    gone = rows.where("NOT stays").select(F.col("doc_id").alias("gone_id"),
+                                          F.col("mark").alias("gone_mark")).distinct()
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"])
                      & (_mark(docs["text"]) == gone["gone_mark"]), "left_anti")
-    repeated = kept.where("kept").groupBy("doc_id", "mark").count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    repeated = (rows.where("stays AND n_shingles > 0").groupBy("doc_id", "mark").count()
+                .where("count > 1"))
+    if repeated.isEmpty():
+        return left
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return left.where(~worded).unionByName(
+        first_per(left.where(worded), ["doc_id", "text"], others or ["doc_id"]))

@@ -130,14 +130,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: i
     """(doc_id, text, n_chars, label) of at most ``limit`` labelled rows outside the held fold.
 
     Ids, the smaller label of repeated ids and the choice (by a hash of the id) do not depend
-    on the order of rows. The chosen ids are at most ``limit`` and are sent to the documents.
+    on the order of rows. The chosen ids are at most ``limit`` and are sent to the documents; of
+    documents that repeat an id, the one with the greatest text counts (null: the smallest).
     """
     chosen = (labels.where(F.col(label).isNotNull() & (fold("doc_id", parts) != held))
               .groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     size = F.col("n_chars") if "n_chars" in docs.columns else F.length("text")
-    return (docs.select("doc_id", "text", size.cast("long").alias("n_chars"))
-            .join(F.broadcast(chosen), "doc_id"))
+    return (docs.select("doc_id", F.struct("text", size.cast("long").alias("n_chars")).alias("d"))
+            .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+            .agg(F.max("d").alias("d")).select("doc_id", "d.text", "d.n_chars", "label"))
 
 
 def quality_machine(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2,

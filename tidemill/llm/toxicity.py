@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from math import inf, log
 from typing import NamedTuple
 
@@ -17,11 +17,14 @@ from tidemill.llm.words import batches, fold
 
 #: Symbols of the character model: 0 is anything but a letter, 1-26 a-z, the rest other letters.
 SYMBOLS = 64
-#: Labelled rows that are fitted, and entries of the lexicon, at most.
+#: Labelled rows that are fitted, and entries of the lexicon (the most telling), at most.
 FIT_ROWS, LEXICON = 12_000, 20_000
 #: An entry has at least so many toxic documents and such log odds.
 LEAST_DOCS, LEAST_ODDS = 5, 2.5
 TOXIC = 0.5
+#: A text's evidence counts up to here, so that a long text does not outweigh the fit.
+MOST_EVIDENCE = 40.0
+NOTHING: Mapping[str, float] = {}
 REMEMBERED = 300_000
 
 # Letters that stand-in characters are read as.
@@ -29,12 +32,22 @@ STAND_INS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "
              "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e",
              "£": "l", "(": "c", "¡": "i", "*": "abcdefghijklmnopqrstuvwxyz"}
 EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»„“”…|*_-~`"
-JOINTS = re.compile(r"[.\-_~*/\\|,]")
-#: Three or more single characters with spaces between.
-SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
-LONG_RUN = re.compile(r"(.)\1\1")
-# Costs of the channel, as log probabilities.
+JOINTS = re.compile(r"[.\-_~*/\\|,]+")
+#: Three or more single characters with white space between.
+SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
+#: Two or more short pieces with white space between.
+SHORT = re.compile(r"(?<!\S)\S{1,4}+(?!\S)(?:\s++\S{1,4}+(?!\S))++")
+#: So many pieces and letters of them make one word at most.
+PIECES, LETTERS = 12, 24
+ENDS = ".,;:!?…"
+RUN = re.compile(r"(.)\1+")
+# Costs of the channel, as log probabilities: a letter written as another sign, or as any; one
+# written twice for a run of three and more; a gap between any two characters; a sign that is
+# meant; one letter written twice; a joint or blank that means nothing, a joint that ends a word.
 STAND_IN, WILD, DOUBLED, GAP, LITERAL = log(0.3), log(0.02), log(0.2), log(0.02), log(0.05)
+COLLAPSED, JOINED, SPLIT = log(0.005), log(0.05), log(0.5)
+#: What a reading gains that is a word of the lexicon.
+KNOWN = 6.0
 
 
 def symbol(char: str) -> int:
@@ -44,6 +57,7 @@ def symbol(char: str) -> int:
     return 27 + code % 37 if char.isalpha() else 0
 
 
+SAME = re.compile(r"(?s:(.)\1*+)")
 _SYMBOL_OF = np.array([symbol(chr(c).lower()[0]) for c in range(0x250)], np.int64)
 
 
@@ -90,29 +104,37 @@ def _options(char: str, spaced: bool) -> list[tuple[str, float]]:
     return [(x, cost) for x in letters] + ([] if spaced else [(char, LITERAL)])
 
 
-def decoded(token: str, model: np.ndarray, spaced: bool = False) -> str:
-    """The likeliest plain text of a disguised token (Viterbi over a lattice of characters).
+def _readings(char: str, length: int, inner: bool, spaced: bool) -> list[tuple[str, float]]:
+    """What a run of one written character may stand for."""
+    out = []
+    if inner and JOINTS.fullmatch(char):
+        out = [("", JOINED)] if spaced else [("", JOINED), (" ", SPLIT)]
+        if char not in STAND_INS:
+            return out
+    for letter, cost in _options(char, spaced):
+        if length == 1:
+            out.append((letter, cost))
+        elif length == 2:
+            out += [(letter * 2, cost * 2), (letter, cost + COLLAPSED)]
+        else:
+            out += [(letter, cost), (letter * 2, cost + DOUBLED)]
+    return out
+
 
-    The lattice has, for each run of one character, its readings; a run of three or more is one
-    or two letters, a shorter one is what it is. Spaced characters may have a word end between
-    any two. States are the last two symbols.
+def best_path(token: str, model: np.ndarray, spaced: bool = False) -> tuple[str, float]:
+    """The likeliest plain text of a disguised token, and its log probability.
+
+    Viterbi over a lattice that has, for each run of one character, its readings: a run of two
+    is two letters or one, a longer one is one or two; a joint within the token is nothing or
+    ends a word. Spaced characters may have a word end between any two. States are the last two
+    symbols.
     """
-    runs: list[tuple[str, int]] = []
-    for char in token:
-        if runs and runs[-1][0] == char:
-            runs[-1] = (char, runs[-1][1] + 1)
-        else:
-            runs.append((char, 1))
+    runs = [(m[0][0], len(m[0])) for m in SAME.finditer(token)]
     paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for i, (char, length) in enumerate(runs):
-        readings = []
-        for letter, cost in _options(char, spaced):
-            if length < 3:
-                readings.append((letter * length, cost * length))
-            else:
-                readings += [(letter, cost), (letter * 2, cost + DOUBLED)]
+        readings = _readings(char, length, 0 < i < len(runs) - 1, spaced)
         if spaced and i:
-            readings += [(" " + text, cost + GAP) for text, cost in readings]
+            readings += [(" " + text, cost + GAP) for text, cost in readings if text]
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, back) in paths.items():
             for text, cost in readings:
@@ -124,34 +146,78 @@ def decoded(token: str, model: np.ndarray, spaced: bool = False) -> str:
                 if total > following.get((x, y), (-inf, None))[0]:
                     following[x, y] = (total, trail)
         paths = following or paths
-    _, trail = max(((score + model[a, b, 0], back) for (a, b), (score, back) in paths.items()),
-                   key=lambda x: x[0])
+    score, trail = max(((score + model[a, b, 0], back) for (a, b), (score, back) in paths.items()),
+                       key=lambda x: x[0])
     letters = []
     while trail:
         trail, c = trail
         letters.append(c)
-    return "".join(reversed(letters))
+    return "".join(reversed(letters)), score
 
 
-def restored(token: str, model: np.ndarray) -> str:
+def decoded(token: str, model: np.ndarray, spaced: bool = False) -> str:
+    return best_path(token, model, spaced)[0]
+
+
+def restored(token: str, model: np.ndarray, known: Mapping[str, float] = NOTHING) -> str:
     """A lower-cased token without its edges (a first "!" may be a letter); decoded if it looks
-    disguised."""
+    disguised: a letter stands twice in a row, or letters stand with stand-ins or joints.
+
+    Without joints and with each run as one letter, the token is a reading of its own, which wins
+    over the likeliest path more often if it is a word of the lexicon (``known``).
+    """
     core = token.rstrip(EDGES).lstrip(EDGES.replace("!", ""))
-    if core.isalpha() and not LONG_RUN.search(core):
+    if core.isalpha() and not RUN.search(core):
         return core
     parts = JOINTS.split(core)
     if len(parts) > 2 and all(len(p) <= 1 for p in parts):
         core = "".join(parts)
-    letters = sum(c.isalpha() for c in core)
-    if letters >= 1 and (LONG_RUN.search(core) or any(c in STAND_INS for c in core)):
-        return decoded(core, model)
-    return core
+    if not (any(c.isalpha() for c in core) and (
+            len(parts) > 1 or RUN.search(core) or any(c in STAND_INS for c in core))):
+        return core
+    text, score = best_path(core, model)
+    if not known or f"={text}" in known:
+        return text
+    joined = JOINTS.sub("", core)
+    for other in {joined, RUN.sub(r"\1", joined)} - {core}:
+        word, likely = best_path(other, model)
+        if f"={word}" in known:
+            changes = JOINED * (len(JOINTS.split(core)) - 1)
+            changes += COLLAPSED * sum(len(m[0]) == 2 for m in RUN.finditer(joined)) * (
+                other != joined)
+            if likely + changes + KNOWN > score:
+                return word
+    return text
+
+
+def _likelihood(text: str, model: np.ndarray) -> float:
+    symbols = [0, 0, *map(symbol, text), 0]
+    return sum(model[x, y, z] for x, y, z in zip(symbols, symbols[1:], symbols[2:]))
+
+
+def broken_up(stretch: list[str], model: np.ndarray, known: Mapping[str, float]) -> list[str]:
+    """Words of the lexicon that short pieces in a row make up, where one word is likelier than
+    the pieces. Pieces of letters only; a piece belongs to one word."""
+    words, start = [], 0
+    while start < len(stretch):
+        end, text = start, ""
+        for i in range(start, min(start + PIECES, len(stretch))):
+            if not stretch[i].isalpha() or len(text) + len(stretch[i]) > LETTERS:
+                break
+            text += stretch[i]
+            if i > start and f"={text}" in known:
+                apart = _likelihood(" ".join(stretch[start:i + 1]), model)
+                if _likelihood(text, model) + JOINED * (i - start) + KNOWN > apart:
+                    words.append(text)
+                    end = i
+        start = end + 1
+    return words
 
 
 def _distinct(text: str) -> tuple[set[str], list[str]]:
     """Distinct lower-cased tokens of a text, and its stretches of spaced characters."""
     low = text.lower()
-    spaced = SPACED.findall(low) if " " in low else []
+    spaced = SPACED.findall(low)
     return set(low.split()), spaced
 
 
@@ -181,16 +247,33 @@ class _Evidence(dict):
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[token] = value = self._of(restored(token, self.lexicon.model))
+        self[token] = value = self._of(self.plain(token))
         return value
 
-    def spaced(self, stretch: str) -> float:
-        return self._of(decoded(stretch.replace(" ", ""), self.lexicon.model, spaced=True))
+    def plain(self, token: str) -> str:
+        return restored(token, self.lexicon.model, self.lexicon.weights)
+
+    def pieces(self, low: str) -> set[str]:
+        """Words of the lexicon that stand in short pieces of one phrase."""
+        found: set[str] = set()
+        if self.lexicon.weights:
+            for stretch in SHORT.findall(low):
+                phrases: list[list[str]] = [[]]
+                for piece in stretch.split():
+                    phrases[-1].append(piece if piece.isalpha() else self.plain(piece))
+                    if piece[-1] in ENDS:
+                        phrases.append([])
+                for pieces in phrases:
+                    found.update(broken_up(pieces, self.lexicon.model, self.lexicon.weights))
+        return found
 
     def features(self, text: str | None) -> tuple[float, float]:
         tokens, spaced = _distinct(text or "")
-        total = sum(map(self.__getitem__, tokens)) + sum(map(self.spaced, spaced))
-        return min(total, 40.0), float(np.log1p(len(tokens)))
+        stretches = [decoded("".join(s.split()), self.lexicon.model, spaced=True) for s in spaced]
+        total = sum(map(self.__getitem__, tokens)) + sum(map(self._of, stretches))
+        total += sum(map(self._of, self.pieces((text or "").lower()).difference(
+            w for s in stretches for w in s.split())))
+        return min(total, MOST_EVIDENCE), float(np.log1p(len(tokens)))
 
 
 def _set_hash(tokens: set[str]) -> bytes:
@@ -213,9 +296,9 @@ def toxicity_lexicon(docs: DataFrame, labels: DataFrame, parts: int = 5, held: i
             found, texts, sets = [], part.column(1).to_pylist(), []
             for text in texts:
                 tokens, spaced = _distinct(text or "")
-                words = {restored(t, model) for t in tokens}
+                words = {w for t in tokens for w in restored(t, model).split()}
                 for stretch in spaced:
-                    words.update(decoded(stretch.replace(" ", ""), model, spaced=True).split())
+                    words.update(decoded("".join(stretch.split()), model, spaced=True).split())
                 found.append(sorted({e for w in words for e in entries(w)}))
                 sets.append(_set_hash(tokens))
             yield pa.RecordBatch.from_arrays(
