@@ -462,6 +462,18 @@ def test_words_in_pieces(characters):
         assert evidence.features(text)[0] == 0.0, text
 
 
+def test_tokens_passed_over_have_no_evidence(characters):
+    pick = np.random.default_rng(5)
+    known = {"=idiot": 5.0, "=aab": 4.0, "stup": 3.0, "mooo": 2.0, "=looser": 2.0}
+    evidence = toxicity._Evidence(toxicity.Lexicon(characters, known, np.array([1.0, 0.0, 0.0])))
+    tokens = {"".join(np.repeat(list(pick.choice(list("idotsupmaler"), 5)), pick.integers(1, 4, 5))) for _ in range(3000)}
+    for word in ("idiot", "aab", "stupid", "moon", "looser"):
+        tokens |= {"".join(np.repeat(list(word), pick.integers(1, 4, len(word)))) for _ in range(200)}
+    assert sum(evidence[t] > 0 for t in tokens) > 50
+    for token in tokens:
+        assert evidence[token] == evidence._of(evidence.plain(token)), token
+
+
 def test_rows_of_repeated_labelled_ids_are_bounded(spark):
     docs = spark.createDataFrame([(1, None)] + [(1, f"text {i}") for i in range(500)] + [(2, "b"), (None, "n")],
                                  "doc_id long, text string")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from functools import cache
 from math import inf, log
 from typing import NamedTuple
 
@@ -32,13 +33,12 @@ STAND_INS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "
              "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e",
              "£": "l", "(": "c", "¡": "i", "*": "abcdefghijklmnopqrstuvwxyz"}
 EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»„“”…|*_-~`"
+LEADING = EDGES.replace("!", "")
 JOINTS = re.compile(r"[.\-_~*/\\|,]+")
 #: Three or more single characters with white space between.
 SPACED = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
 #: Two or more short pieces with white space between.
 SHORT = re.compile(r"(?<!\S)\S{1,4}+(?!\S)(?:\s++\S{1,4}+(?!\S))++")
-#: So many pieces and letters of them make one word at most.
-PIECES, LETTERS = 12, 24
 ENDS = ".,;:!?…"
 RUN = re.compile(r"(.)\1+")
 # Costs of the channel, as log probabilities: a letter written as another sign, or as any; one
@@ -83,8 +83,8 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
             .groupBy("code").agg(F.sum("n").alias("n")))
 
 
-def language_model(counts: DataFrame) -> np.ndarray:
-    """log P(c | a, b) for all symbols, smoothed with shorter contexts."""
+def language_model(counts: DataFrame) -> list[float]:
+    """log P(c | a, b) for all symbols, smoothed with shorter contexts, c running fastest."""
     n = np.zeros(SYMBOLS ** 3)
     for code, count in counts.collect():
         n[code] = count
@@ -92,7 +92,7 @@ def language_model(counts: DataFrame) -> np.ndarray:
     pairs = n.sum(0)
     single = (pairs.sum(0) + 1) / (pairs.sum() + SYMBOLS)
     double = (pairs + 2 * single) / (pairs.sum(1, keepdims=True) + 2)
-    return np.log((n + 5 * double) / (n.sum(2, keepdims=True) + 5))
+    return np.log((n + 5 * double) / (n.sum(2, keepdims=True) + 5)).ravel().tolist()
 
 
 def _options(char: str, spaced: bool) -> list[tuple[str, float]]:
@@ -104,8 +104,9 @@ def _options(char: str, spaced: bool) -> list[tuple[str, float]]:
     return [(x, cost) for x in letters] + ([] if spaced else [(char, LITERAL)])
 
 
+@cache
 def _readings(char: str, length: int, inner: bool, spaced: bool) -> list[tuple[str, float]]:
-    """What a run of one written character may stand for."""
+    """What a run of one written character may stand for; runs of three and more are alike."""
     out = []
     if inner and JOINTS.fullmatch(char):
         out = [("", JOINED)] if spaced else [("", JOINED), (" ", SPLIT)]
@@ -121,32 +122,44 @@ def _readings(char: str, length: int, inner: bool, spaced: bool) -> list[tuple[s
     return out
 
 
-def best_path(token: str, model: np.ndarray, spaced: bool = False) -> tuple[str, float]:
+@cache
+def _steps(char: str, length: int, inner: bool, spaced: bool, gap: bool) -> list[tuple]:
+    """The readings as (symbols with their characters, cost), with a gap before them or none."""
+    readings = _readings(char, length, inner, spaced)
+    if gap:
+        readings = readings + [(" " + text, cost + GAP) for text, cost in readings if text]
+    return [([(symbol(c), c) for c in text], cost) for text, cost in readings]
+
+
+def best_path(token: str, model: list[float], spaced: bool = False) -> tuple[str, float]:
     """The likeliest plain text of a disguised token, and its log probability.
 
     Viterbi over a lattice that has, for each run of one character, its readings: a run of two
     is two letters or one, a longer one is one or two; a joint within the token is nothing or
     ends a word. Spaced characters may have a word end between any two. States are the last two
-    symbols.
+    symbols, as one number.
     """
     runs = [(m[0][0], len(m[0])) for m in SAME.finditer(token)]
-    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    last = len(runs) - 1
+    paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for i, (char, length) in enumerate(runs):
-        readings = _readings(char, length, 0 < i < len(runs) - 1, spaced)
-        if spaced and i:
-            readings += [(" " + text, cost + GAP) for text, cost in readings if text]
-        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (score, back) in paths.items():
-            for text, cost in readings:
-                x, y, total, trail = a, b, score + cost, back
-                for c in text:
-                    s = symbol(c)
-                    total += model[x, y, s]
-                    x, y, trail = y, s, (trail, c)
-                if total > following.get((x, y), (-inf, None))[0]:
-                    following[x, y] = (total, trail)
+        if length == 1 and len(paths) == 1 and not spaced and char.isalpha():
+            (start, (score, back)), = paths.items()
+            s = symbol(char)
+            paths = {start % SYMBOLS * SYMBOLS + s: (score + model[start * SYMBOLS + s], (back, char))}
+            continue
+        following: dict[int, tuple[float, tuple | None]] = {}
+        steps = _steps(char, min(length, 3), 0 < i < last, spaced, spaced and i > 0)
+        for start, (score, back) in paths.items():
+            for symbols, cost in steps:
+                at, total, trail = start, score + cost, back
+                for s, c in symbols:
+                    total += model[at * SYMBOLS + s]
+                    at, trail = at % SYMBOLS * SYMBOLS + s, (trail, c)
+                if at not in following or total > following[at][0]:
+                    following[at] = (total, trail)
         paths = following or paths
-    score, trail = max(((score + model[a, b, 0], back) for (a, b), (score, back) in paths.items()),
+    score, trail = max(((score + model[at * SYMBOLS], back) for at, (score, back) in paths.items()),
                        key=lambda x: x[0])
     letters = []
     while trail:
@@ -155,18 +168,22 @@ def best_path(token: str, model: np.ndarray, spaced: bool = False) -> tuple[str,
     return "".join(reversed(letters)), score
 
 
-def decoded(token: str, model: np.ndarray, spaced: bool = False) -> str:
+def decoded(token: str, model: list[float], spaced: bool = False) -> str:
     return best_path(token, model, spaced)[0]
 
 
-def restored(token: str, model: np.ndarray, known: Mapping[str, float] = NOTHING) -> str:
+def _core(token: str) -> str:
+    return token.rstrip(EDGES).lstrip(LEADING)
+
+
+def restored(token: str, model: list[float], known: Mapping[str, float] = NOTHING) -> str:
     """A lower-cased token without its edges (a first "!" may be a letter); decoded if it looks
     disguised: a letter stands twice in a row, or letters stand with stand-ins or joints.
 
     Without joints and with each run as one letter, the token is a reading of its own, which wins
     over the likeliest path more often if it is a word of the lexicon (``known``).
     """
-    core = token.rstrip(EDGES).lstrip(EDGES.replace("!", ""))
+    core = _core(token)
     if core.isalpha() and not RUN.search(core):
         return core
     parts = JOINTS.split(core)
@@ -180,6 +197,9 @@ def restored(token: str, model: np.ndarray, known: Mapping[str, float] = NOTHING
         return text
     joined = JOINTS.sub("", core)
     for other in {joined, RUN.sub(r"\1", joined)} - {core}:
+        plain = other.isalpha() and not RUN.search(other)
+        if plain and f"={other}" not in known:
+            continue
         word, likely = best_path(other, model)
         if f"={word}" in known:
             changes = JOINED * (len(JOINTS.split(core)) - 1)
@@ -190,23 +210,29 @@ def restored(token: str, model: np.ndarray, known: Mapping[str, float] = NOTHING
     return text
 
 
-def _likelihood(text: str, model: np.ndarray) -> float:
+def _likelihood(text: str, model: list[float]) -> float:
     symbols = [0, 0, *map(symbol, text), 0]
-    return sum(model[x, y, z] for x, y, z in zip(symbols, symbols[1:], symbols[2:]))
+    return sum(model[(x * SYMBOLS + y) * SYMBOLS + z]
+               for x, y, z in zip(symbols, symbols[1:], symbols[2:]))
 
 
-def broken_up(stretch: list[str], model: np.ndarray, known: Mapping[str, float]) -> list[str]:
+def beginnings(known: Iterable[str]) -> set[str]:
+    """All words of the lexicon and what they begin with."""
+    return {e[1:n] for e in known if e[0] == "=" for n in range(2, len(e) + 1)}
+
+
+def broken_up(pieces: list[str], model: list[float], known: Mapping[str, float],
+              begun: set[str]) -> list[str]:
     """Words of the lexicon that short pieces in a row make up, where one word is likelier than
-    the pieces. Pieces of letters only; a piece belongs to one word."""
+    the pieces; a piece belongs to one word. ``begun`` are the ``beginnings`` of the lexicon."""
     words, start = [], 0
-    while start < len(stretch):
-        end, text = start, ""
-        for i in range(start, min(start + PIECES, len(stretch))):
-            if not stretch[i].isalpha() or len(text) + len(stretch[i]) > LETTERS:
-                break
-            text += stretch[i]
-            if i > start and f"={text}" in known:
-                apart = _likelihood(" ".join(stretch[start:i + 1]), model)
+    while start < len(pieces):
+        end, i, text = start, start, pieces[start]
+        while text in begun and i + 1 < len(pieces):
+            i += 1
+            text += pieces[i]
+            if f"={text}" in known:
+                apart = _likelihood(" ".join(pieces[start:i + 1]), model)
                 if _likelihood(text, model) + JOINED * (i - start) + KNOWN > apart:
                     words.append(text)
                     end = i
@@ -227,7 +253,7 @@ def entries(word: str) -> list[str]:
 
 
 class Lexicon(NamedTuple):
-    model: np.ndarray
+    model: list[float]
     weights: dict[str, float]
     slope: np.ndarray  # of evidence, log of words, and a constant
 
@@ -238,25 +264,37 @@ class _Evidence(dict):
     def __init__(self, lexicon: Lexicon) -> None:
         super().__init__()
         self.lexicon = lexicon
+        self.begun = beginnings(lexicon.weights)
+        self.starts = {e.removeprefix("=")[:4] for e in lexicon.weights}
+        self.collapsed = {RUN.sub(r"\1", s) for s in self.starts}
 
     def _of(self, words: str) -> float:
         weights = self.lexicon.weights
         return sum(max((weights.get(e, 0.0) for e in entries(w)), default=0.0)
-                   for w in words.split())
+                   for w in words.split() if w[:4] in self.starts)
 
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[token] = value = self._of(self.plain(token))
+        self[token] = value = self._of(self.plain(token)) if self._may_count(token) else 0.0
         return value
 
+    def _may_count(self, token: str) -> bool:
+        """Whether any reading of the token may meet an entry: those of letters alone differ in
+        doubled letters only, so the beginnings of all are alike without them."""
+        core = _core(token)
+        if not core.isalpha():
+            return True
+        once = RUN.sub(r"\1", core)
+        return any(once[:n] in self.collapsed for n in (4, 3, 2, 1))
+
     def plain(self, token: str) -> str:
         return restored(token, self.lexicon.model, self.lexicon.weights)
 
     def pieces(self, low: str) -> set[str]:
         """Words of the lexicon that stand in short pieces of one phrase."""
         found: set[str] = set()
-        if self.lexicon.weights:
+        if self.begun:
             for stretch in SHORT.findall(low):
                 phrases: list[list[str]] = [[]]
                 for piece in stretch.split():
@@ -264,7 +302,8 @@ class _Evidence(dict):
                     if piece[-1] in ENDS:
                         phrases.append([])
                 for pieces in phrases:
-                    found.update(broken_up(pieces, self.lexicon.model, self.lexicon.weights))
+                    found.update(broken_up(pieces, self.lexicon.model, self.lexicon.weights,
+                                           self.begun))
         return found
 
     def features(self, text: str | None) -> tuple[float, float]:
