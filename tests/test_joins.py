@@ -197,3 +197,15 @@ def test_province_stats_batch_equals_sql(spark):
     rows.withColumn("row_time", F.col("create_time").cast("timestamp")).createOrReplaceTempView("wide_rows")
     sql = stats.province_stats_sql(spark, "wide_rows").drop("ts").orderBy("stt")
     assert sql.collect() == got.select(*sql.columns).collect()
+
+
+def test_dim_join_large_dimension_is_not_broadcast(spark, folder):
+    """A dimension measured too large goes by shuffle, whatever the planner guesses of it
+    from its compressed file."""
+    rows = spark.createDataFrame([(1, 1), (2, 5), (3, None)], "id BIGINT, sku_id BIGINT")
+    spark.createDataFrame([("1", "a"), ("5", "b")], "id STRING, name STRING").write.parquet(
+        f"{folder}/dim")
+    dim = spark.read.parquet(f"{folder}/dim")
+    got = joins.dim_join(rows, dim, "sku_id", {"name": "name"}, max_broadcast_bytes=0)
+    assert sorted((r.id, r.name) for r in got.collect()) == [(1, "a"), (2, "b"), (3, None)]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()

@@ -81,10 +81,15 @@ def dim_join(df: DataFrame, dim: DataFrame, key: str, attributes: dict[str, str
     on = F.col(key).cast("string") == F.col("_dim_key")
     if is_small(picked, max_broadcast_bytes):
         picked = F.broadcast(picked)
-    elif salts > 1:
-        base = base.withColumn("_salt", row_salt(base, salts))
-        picked = picked.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = on & (F.col("_salt") == F.col("_dim_salt"))
+    else:
+        # the planner guesses sizes from compressed files and would broadcast a large
+        # dimension through the driver all the same
+        picked = picked.hint("merge")
+        if salts > 1:
+            base = base.withColumn("_salt", row_salt(base, salts))
+            picked = picked.withColumn(
+                "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            on = on & (F.col("_salt") == F.col("_dim_salt"))
     joined = base.join(picked, on, "left")
     looked_up = {out: F.col(f"_dim_{out}") for out in attributes}
     return joined.select(
