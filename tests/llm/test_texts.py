@@ -503,3 +503,10 @@ def test_pipeline(spark):
     plan = corpus_pipeline.run(spark, FOLDER)
     assert {r.doc_id for r in plan.select("doc_id").distinct().collect()} <= {
         r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_suffix_tree_rest_filter_grows_with_the_rest():
+    # The filter of the terms joined at scoring had a fixed 2^25 bits: 30M terms filled most of it.
+    bits = suffixtree._bits(30_000_000, suffixtree.REST_BITS)
+    assert bits > 25 and (1 << bits) >= 4 * 30_000_000
+    assert suffixtree._bits(1_000) < 25
