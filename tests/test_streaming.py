@@ -1,6 +1,8 @@
 import json
 import random
+from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 
 from samples import display, page, pages, split_evenly, stream_of
 from tidemill.operators import joins, logs as lg, products, stats, visits
-from tidemill.plans import deploy, jobs
+from tidemill.plans import deploy, jobs, queries
+from tidemill.session import work_folder
 from tidemill.sinks import committed, dimensions
 from tidemill.sources.topics import Topics, read_topic
 from tidemill.streaming import lookups, run, state
@@ -429,3 +432,27 @@ def test_lookup_stream_equals_batch_under_skew(spark, folder):
                                           ([(-1, None, 10_000)], [])], salts=4)
     names = {k: n for k, n, _ in versions}
     assert [r for r in seen[-1] if r[0] >= 0] == sorted((i, names.get(k)) for i, k, _ in facts)
+
+
+def test_many_rows_are_fed_in_more_rounds(spark, monkeypatch):
+    """A stream fed in rounds got all rows at once, however many, and they stayed staged."""
+    rows = [(i, None if i % 50 == 7 else (i * 7919 % 1000) ** 2 * 100) for i in range(1000)]
+    wanted = Counter(ts // 1_000_000 for _, ts in rows if ts is not None)
+    folders, started = [], []
+    monkeypatch.setattr(queries, "ROUND_ROWS", 100)
+    monkeypatch.setattr(queries, "work_folder", lambda *a: folders.append(
+        work_folder(*a)) or folders[-1])
+    monkeypatch.setattr(queries.run, "start_to_files", lambda *a, start=queries.run.start_to_files,
+                        **k: started.append(start(*a, **k)) or started[-1])
+    out = queries._in_rounds(
+        spark, {"rows": spark.createDataFrame(rows, "id long, ts long")},
+        {"id": F.lit(-1).cast("long")},
+        lambda df: df.withColumn("time", F.timestamp_millis("ts")).withWatermark(
+            "time", "1 second").groupBy(F.window("time", "1000 seconds").alias("window")).agg(
+            F.count("*").alias("n")).select(F.unix_millis("window.start").alias("start"), "n"),
+        "rounds", 1)
+    assert {r.start // 1_000_000: r.n for r in out.collect()} == wanted
+    fed = [max(p["numInputRows"] for p in q.recentProgress) for q in started]
+    assert len(fed) == 11 and max(fed) < 150 and sum(fed) == len(rows) + 1
+    assert not list(Path(folders[0], "staged").rglob("part-*"))
+    assert not list(Path(folders[0], "rows").rglob("part-*"))

@@ -38,6 +38,11 @@ def delete(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def make(spark: SparkSession, folder: str) -> None:
+    fs, path = files(spark, folder)
+    fs.mkdirs(path)
+
+
 def merge_changes(changes: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
     """Per ``pk``, each column's value in the last change that has it."""
     def last(column: str):

@@ -15,11 +15,12 @@ from tidemill.session import (
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, in ``state_partitions`` parts. The
-    session's own settings return afterwards; a running query keeps those it started with."""
+def stream_settings(spark: SparkSession, more: dict[str, str] | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, in ``state_partitions`` parts, and have
+    the settings ``more``. The session's own settings return afterwards; a running query keeps
+    those it started with."""
     wanted = {STATE_PROVIDER_KEY: ROCKSDB_PROVIDER,
-              "spark.sql.shuffle.partitions": str(state_partitions(spark))}
+              "spark.sql.shuffle.partitions": str(state_partitions(spark)), **(more or {})}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -31,7 +32,8 @@ def stream_settings(spark: SparkSession) -> Iterator[None]:
 
 
 def start_to_files(df: DataFrame, path: str, checkpoint: str, once: bool = True,
-                   trigger: str = "10 seconds") -> StreamingQuery:
+                   trigger: str = "10 seconds",
+                   settings: dict[str, str] | None = None) -> StreamingQuery:
     """Append a stream to Parquet files, exactly once. A restart is a new start with the same
     checkpoint."""
     writer = (
@@ -39,7 +41,7 @@ def start_to_files(df: DataFrame, path: str, checkpoint: str, once: bool = True,
         .option("path", path).option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
-    with stream_settings(df.sparkSession):
+    with stream_settings(df.sparkSession, settings):
         return writer.start()
 
 
