@@ -510,3 +510,27 @@ def test_suffix_tree_rest_filter_grows_with_the_rest():
     bits = suffixtree._bits(30_000_000, suffixtree.REST_BITS)
     assert bits > 25 and (1 << bits) >= 4 * 30_000_000
     assert suffixtree._bits(1_000) < 25
+
+
+def test_suffix_tree_leaves_no_tree_and_joins_in_slices(spark, monkeypatch, folder):
+    """The rest of the tree was written once more and stayed, and all keys were joined at once."""
+    from tidemill.llm import store
+    purposes, removed = {}, []
+    monkeypatch.setattr(suffixtree, "HEAD_WORDS", 30)
+    monkeypatch.setattr(suffixtree, "HEAD_TERMS", 100)
+    docs = frame(spark, [(i, t) for i, t in enumerate(phrases())])
+    want = {r.doc_id: r.score for r in suffixtree.scored(docs).collect()}
+
+    def place(spark_, purpose):
+        purposes.setdefault(purpose, []).append(f"{folder}/{purpose}-{len(purposes.get(purpose, []))}")
+        return purposes[purpose][-1]
+    monkeypatch.setattr(store, "work_folder", place)
+    monkeypatch.setattr(suffixtree, "removed", lambda s, at: removed.append(at) or store.removed(s, at))
+    monkeypatch.setattr(suffixtree, "SLICES", 4)
+    monkeypatch.setattr(suffixtree, "SLICE", 1000)
+    got = {r.doc_id: r.score for r in suffixtree.scored(docs).collect()}
+    assert len(purposes["lm-more"]) == 4 and len(purposes["lm-rows"]) == 1
+    left = {p for p, places in purposes.items() for at in places if at not in removed}
+    assert left == {"lm-rows", "lm-more"}
+    assert want.keys() == got.keys()
+    assert np.allclose([got[i] for i in want], list(want.values()), rtol=1e-12)
