@@ -1243,9 +1243,15 @@ def side_output(spark, sf):
 ROUND_ROWS = 4_000_000
 #: Fixed value: quantiles of the times, of which the bounds of such rounds are taken.
 QUANTILES = 1000
-#: A stopped stream starts again from its last batch; older states are not kept.
+#: A stopped stream starts again from its last batch: older states are not kept. Stores of one
+#: executor share their memory, also those of a stopped stream that are not closed yet; what a
+#: batch has shuffled is deleted with its end.
 LAST_STATES = {"spark.sql.streaming.minBatchesToRetain": "2",
-               "spark.sql.streaming.stateStore.maintenanceInterval": "10s"}
+               "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
+               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+               "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+               "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+               "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def _round_starts(inputs: list[DataFrame], rounds: int) -> tuple[list[int], int]:
